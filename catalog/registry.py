@@ -27,7 +27,13 @@ def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
     missing = ({n for n, kind in kinds.items() if kind in ("double", "float")} - EXACT) ^ set(digits)
     if missing:
         raise ValueError(f"double columns and rounding differ in {sorted(missing)}")
-    return df.withColumns({name: F.round(F.col(name), places) for name, places in digits.items()})
+    return df.withColumns({name: F.round(F.col(name) + off_tie(places), places) for name, places in digits.items()})
+
+
+def off_tie(places: int) -> float:
+    """A shift far below the last digit kept and far above float noise: exact halves
+    (prices are short decimals) then round alike however their last bit came out."""
+    return 1.7 * 10.0 ** -(places + 3)
 
 
 def query(name: str, doubles: str = "", sql: str | None = None):
@@ -57,7 +63,7 @@ def oracle(sql: str, digits: dict[str, int]) -> str:
     body = sql.strip()
     used = [(table, text) for table, text in (("bars", BARS_SQL), ("news", NEWS_SQL)) if table in body]
     prefix = ", ".join(f"{table} AS MATERIALIZED ({text})" for table, text in used)
-    replaced = ", ".join(f"round({name}, {places}) + 0.0 AS {name}" for name, places in digits.items())
+    replaced = ", ".join(f"round({name} + {off_tie(places):.4e}::DOUBLE, {places}) + 0.0 AS {name}" for name, places in digits.items())
     columns = f"* REPLACE ({replaced})" if digits else "*"
     # A statement with CTEs of its own (recursive ones included) keeps them inside.
     inner = f"SELECT {columns} FROM ({body})"
