@@ -145,8 +145,14 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    weights = class_weights(df, label).select(label, F.col("weight").alias(name))
-    return df.join(weights, label)
+    """Adds the balanced weight of the row's class.
+
+    The weights (one per class) are a map from a scalar subquery: a join on the label
+    would shuffle every row to as many tasks as there are classes.
+    """
+    weights = class_weights(df, label)
+    mapped = weights.agg(F.map_from_entries(F.collect_list(F.struct(label, "weight")))).scalar()
+    return df.withColumn(name, F.element_at(mapped, F.col(label)))
 
 
 def with_stratified_fold(df: DataFrame, label: str, keys: Iterable[str], folds: int = 5, seed: int = 42) -> DataFrame:

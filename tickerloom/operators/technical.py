@@ -265,12 +265,16 @@ def news_lags_and_means(
 
 
 def fill_forward_backward(panel: DataFrame, columns: Iterable[str], zero: bool = True) -> DataFrame:
-    """Per ticker: last earlier value, else first later value, else 0."""
-    earlier = running()
-    later = by_ticker().rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    """Per ticker: last earlier value, else first later value, else 0.
+
+    Without an earlier value the ticker's first value is the next one, so both come from
+    frames that grow once over the ticker (a frame shrinking from the end would be read
+    anew for every row).
+    """
+    whole = by_ticker().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def filled(name: str) -> Column:
-        choices = [F.last(name, ignorenulls=True).over(earlier), F.first(name, ignorenulls=True).over(later)]
+        choices = [F.last(name, ignorenulls=True).over(running()), F.first(name, ignorenulls=True).over(whole)]
         return F.coalesce(*choices, *([F.lit(0)] if zero else []))
 
     return panel.withColumns({name: filled(name) for name in columns})
