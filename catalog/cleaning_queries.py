@@ -542,9 +542,7 @@ query(
         FROM ({q.articles()}) GROUP BY ticker, trading_date""",
 )(
     lambda t: daily_news.join_parts(
-        daily_news.daily_text(
-            daily_news.with_trading_date(daily_news.prepare_articles(t.news)), ["timestamp", "doc_id"]
-        )
+        daily_news.daily_text(t.news, ["timestamp", "doc_id"])
     )
 )
 

@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickerloom.operators import technical
+from tickerloom.sources.files import spread_small_scan
 
 BARS_SQL = """
 SELECT ticker, date, min_by(price, rn) AS open, max(price) AS high, min(price) AS low,
@@ -60,7 +61,7 @@ class Tables:
         """
         order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
         trades = (
-            self.read("lineitem")
+            spread_small_scan(self.read("lineitem"), "l_orderkey")
             .join(self.read("part"), F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 F.col("p_brand").alias("ticker"),
@@ -94,7 +95,7 @@ class Tables:
             .when(F.col("source") == "src2", "The CNBC Desk")
             .otherwise(F.col("source"))
         )
-        return self.read("documents").select(
+        return spread_small_scan(self.read("documents"), "doc_id").select(
             "doc_id",
             F.concat(F.lit("Brand#"), (1 + F.col("doc_id") % 25).cast("string")).alias("ticker"),
             F.concat(opening, F.get(F.split("text", "\n"), F.lit(0))).alias("headline"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import operator
+from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,9 +18,18 @@ SPACE = f"[{WHITESPACE}]"
 NON_SPACE = f"[^{WHITESPACE}]"
 
 
+# The same characters as a string, for trimming both ends without a pattern.
+WHITESPACE_CHARACTERS = "".join(
+    chr(code)
+    for first, last in ((9, 13), (28, 32), (133, 133), (160, 160), (0x1680, 0x1680), (0x2000, 0x200A),
+                        (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000))
+    for code in range(first, last + 1)
+)
+
+
 def strip(text: Column) -> Column:
     """Trim white space of any kind on both sides."""
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(WHITESPACE_CHARACTERS))
 
 
 def words(text: Column) -> Column:
@@ -26,53 +37,78 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, f"{SPACE}+"), lambda word: word != "")
 
 
+def contains_any(text: Column, parts: Iterable[str]) -> Column:
+    """Plain substring tests: far cheaper than a pattern for texts that hold none."""
+    return reduce(operator.or_, [F.contains(text, F.lit(part)) for part in parts])
+
+
+def _blanks(text: Column) -> Column:
+    """Lower case, white space as single blanks; blanks that are single are not touched."""
+    other = WHITESPACE.replace(r"\x20", r"\x1F")
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), f"[{other}]{SPACE}*| {SPACE}+", " ")
+
+
+def _no_links(text: Column) -> Column:
+    return F.regexp_replace(text, "(?:http|www)[^ ]+", "")
+
+
+def _no_addresses(text: Column) -> Column:
+    """Drop words with an '@' between two characters; possessive, so linear in the text."""
+    return F.regexp_replace(text, "(?<![^ ])[^ ][^ @]*+@[^ ]++", "")
+
+
+def _letters(text: Column) -> Column:
+    return F.trim(F.regexp_replace(F.regexp_replace(text, "[^a-z .,!?;:]+", ""), "  +", " "))
+
+
 def clean_text(text: Column) -> Column:
-    """Lower-case letters and basic punctuation only, single spaced; null becomes ''.
+    """Lower-case letters and basic punctuation only, single spaced; null becomes ''."""
+    return _letters(_no_addresses(_no_links(_blanks(text))))
 
-    White space is reduced to blanks first, so the later patterns are plain classes. A
-    word with an '@' between two characters is an address; possessive quantifiers keep
-    that search linear in the text.
-    """
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    blanks = F.regexp_replace(lowered, f"{SPACE}+", " ")
-    no_links = F.regexp_replace(blanks, "(?:http|www)[^ ]+", "")
-    no_mail = F.regexp_replace(no_links, "(?<![^ ])[^ ][^ @]*+@[^ ]++", "")
-    letters = F.regexp_replace(no_mail, "[^a-z .,!?;:]+", "")
-    return F.trim(F.regexp_replace(letters, "  +", " "))
+
+def _without_phrases(text: Column) -> Column:
+    for pattern in fixed.BOILERPLATE_PATTERNS:
+        text = F.regexp_replace(text, "(?i)" + pattern.replace(r"\s", SPACE), "")
+    return text
 
 
 def remove_boilerplate(text: Column) -> Column:
-    """Fixed phrases removed one after the other, then trimmed.
+    """Fixed phrases removed one after the other, then trimmed."""
+    return strip(_without_phrases(text))
 
-    The passes run only for texts that hold the core of some phrase.
-    """
-    cores = (pattern.replace(r"\s*-\s*", "").replace(".*?", "|") for pattern in fixed.BOILERPLATE_PATTERNS)
-    cleaned = text
-    for pattern in fixed.BOILERPLATE_PATTERNS:
-        cleaned = F.regexp_replace(cleaned, "(?i)" + pattern.replace(r"\s", SPACE), "")
-    return strip(F.when(text.rlike("(?i)" + "|".join(cores)), cleaned).otherwise(text))
 
+# A text that holds none of these, in lower case, holds no fixed phrase.
+PHRASE_CORES = [
+    pattern.replace(r"\s*-\s*", "").replace("\\", "").split(".*?")[0] for pattern in fixed.BOILERPLATE_PATTERNS
+]
 
-def tokens(text: Column, remove_stop_words: bool = True) -> Column:
-    """Words longer than two characters of a cleaned (single-spaced, lower-case) text.
 
-    Punctuation splits off words; a run of dots is a token of its own; a single
-    closing dot is not part of its word.
-    """
-    joined = [pair.replace(" ", "") for pair in fixed.SPLIT_CONTRACTIONS]
-    spaced = text
-    for pair, whole in zip(fixed.SPLIT_CONTRACTIONS, joined):
-        spaced = F.regexp_replace(spaced, f"\\b{whole}\\b", pair)
-    text = F.when(text.rlike(f"\\b(?:{'|'.join(joined)})\\b"), spaced).otherwise(text)
-    no_marks = F.translate(text, ",!?;:", " " * 5)
-    dots = F.regexp_replace(no_marks, r"\.{2,}", " $0 ")
-    undotted = F.regexp_replace(dots, r"(?<=[^. ])\.(?= |$)", "")
-    pieces = F.split(undotted, " ")
+# Contractions as written, before the tokenizer parts them.
+JOINED_CONTRACTIONS = [pair.replace(" ", "") for pair in fixed.SPLIT_CONTRACTIONS]
+
+
+def _part_contractions(text: Column) -> Column:
+    for pair, whole in zip(fixed.SPLIT_CONTRACTIONS, JOINED_CONTRACTIONS):
+        text = F.regexp_replace(text, f"\\b{whole}\\b", pair)
+    return text
+
+
+def _long_words(text: Column, remove_stop_words: bool = True) -> Column:
+    """Punctuation splits off words; a run of dots is a token of its own; a single
+    closing dot is not part of its word."""
+    marked = F.regexp_replace(text, "[,!?;:]", " ")
+    runs = F.regexp_replace(marked, r"\.{2,}", " $0 ")
+    pieces = F.split(F.regexp_replace(runs, r"(?<=[^. ])\.(?= |$)", ""), " ")
     if remove_stop_words:
         return F.filter(pieces, lambda word: (F.length(word) > 2) & ~word.isin(fixed.ENGLISH_STOP_WORDS))
     return F.filter(pieces, lambda word: F.length(word) > 2)
 
 
+def tokens(text: Column, remove_stop_words: bool = True) -> Column:
+    """Words longer than two characters of a cleaned (single-spaced, lower-case) text."""
+    return _long_words(_part_contractions(text), remove_stop_words)
+
+
 def preprocess_text(text: Column) -> Column:
     return F.array_join(tokens(remove_boilerplate(clean_text(text))), " ")
 
@@ -80,12 +116,25 @@ def preprocess_text(text: Column) -> Column:
 def with_preprocessed(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Adds preprocessed texts (new name -> text column).
 
-    The same steps as `preprocess_text`, one projection each: a step's input is used
-    more than once, and as a column it is computed once.
+    The same steps as `preprocess_text`, but a step that few texts need is guarded by a
+    substring test. A guarded step reads its input twice, so its input is a column of
+    its own and computed once.
     """
-    cleaned = df.withColumns({new: clean_text(F.col(old)) for new, old in columns.items()})
-    plain = cleaned.withColumns({new: remove_boilerplate(F.col(new)) for new in columns})
-    return plain.withColumns({new: F.array_join(tokens(F.col(new)), " ") for new in columns})
+
+    def step(frame: DataFrame, change, parts: Iterable[str] | None = None) -> DataFrame:
+        def changed(name: str) -> Column:
+            column = F.col(name)
+            return change(column) if parts is None else F.when(contains_any(column, parts), change(column)).otherwise(column)
+
+        return frame.withColumns({new: changed(new) for new in columns})
+
+    df = df.withColumns({new: _blanks(F.col(old)) for new, old in columns.items()})
+    df = step(df, _no_links, ("http", "www"))
+    df = step(df, _no_addresses, ("@",))
+    df = step(df, _letters)
+    df = step(df, _without_phrases, PHRASE_CORES)
+    df = step(df, _part_contractions, JOINED_CONTRACTIONS)
+    return step(df, lambda column: F.array_join(_long_words(strip(column)), " "))
 
 
 def remove_headline_prefixes(headline: Column) -> Column:

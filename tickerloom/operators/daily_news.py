@@ -45,23 +45,24 @@ def daily_news(articles: DataFrame) -> DataFrame:
     )
 
 
-def daily_text(articles: DataFrame, order: Iterable[str], partitions: int | None = None) -> DataFrame:
-    """The day's texts joined by blanks in article order, as numbered parts.
-
-    Rows are range-partitioned on (ticker, day, order), which cuts a hot day into
-    several sorted partitions; every partition joins its own stretch. Ordinary days
-    have one part, and the parts of a day in order are the whole text.
+def daily_text(news: DataFrame, order: Iterable[str], partitions: int | None = None) -> DataFrame:
+    """The day's preprocessed texts joined by blanks in article order, as numbered parts.
+
+    Articles are range-partitioned on (ticker, day, order), which cuts a hot day into
+    several sorted partitions; every partition prepares and joins its own stretch.
+    Ordinary days have one part, and the parts of a day in order are the whole text.
+    The ranges are drawn before the texts are prepared, since drawing reads the input
+    once more.
     """
     order = list(order)
     keys = ["ticker", "trading_date"]
-    slim = articles.select(*keys, *order, "combined_text")
+    raw = with_trading_date(news).select(*keys, *[name for name in order if name not in keys], "headline", "content")
     ranges = [F.col(name) for name in keys + order]
-    ranged = slim.repartitionByRange(partitions, *ranges) if partitions else slim.repartitionByRange(*ranges)
+    ranged = raw.repartitionByRange(partitions, *ranges) if partitions else raw.repartitionByRange(*ranges)
+    articles = prepare_articles(ranged).select(*keys, *order, "combined_text", F.spark_partition_id().alias("stretch"))
     stretch = F.array_sort(F.collect_list(F.struct(*order, "combined_text")))
-    parts = (
-        ranged.withColumn("stretch", F.spark_partition_id())
-        .groupBy(*keys, "stretch")
-        .agg(F.array_join(F.transform(stretch, lambda row: row["combined_text"]), " ").alias("combined_text"))
+    parts = articles.groupBy(*keys, "stretch").agg(
+        F.array_join(F.transform(stretch, lambda row: row["combined_text"]), " ").alias("combined_text")
     )
     numbered = Window.partitionBy(*keys).orderBy("stretch")
     return parts.select(
