@@ -126,6 +126,11 @@ def row_max_abs(columns: list[Column]) -> Column:
     return F.greatest(*values) if len(values) > 1 else values[0]
 
 
+def count_true(conditions: list[Column]) -> Column:
+    """How many conditions hold; an array keeps hundreds of them a flat expression."""
+    return F.size(F.filter(F.array(*conditions), lambda condition: condition))
+
+
 def infinite_to_null(value: Column) -> Column:
     unusable = F.isnan(value) | (F.abs(value) == float("inf"))
     return F.when(~unusable, value)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from tickerloom.functions import calendar, fixed_values as fixed, text
-from tickerloom.functions.numeric import infinite_to_null
+from tickerloom.functions.numeric import count_true, infinite_to_null
 
 
 def keep_first(df: DataFrame, keys: Iterable[str], order: Iterable[str]) -> DataFrame:
@@ -78,7 +78,7 @@ def trading_days(df: DataFrame, date: str = "date") -> DataFrame:
 def few_missing(df: DataFrame, features: Iterable[str], share: float = 0.5) -> DataFrame:
     """Rows with fewer missing features than `share` of them."""
     features = list(features)
-    missing = sum((F.col(name).isNull().cast("int") for name in features), F.lit(0))
+    missing = count_true([F.col(name).isNull() for name in features])
     return df.where(missing < share * len(features))
 
 

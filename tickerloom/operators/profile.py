@@ -13,7 +13,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickerloom.functions import fixed_values as fixed, text
-from tickerloom.functions.numeric import sample_skewness
+from tickerloom.functions.numeric import count_true, sample_skewness
 from tickerloom.operators.quantiles import exact_quantiles
 
 YEAR = fixed.TRADING_DAYS_PER_YEAR
@@ -118,14 +118,14 @@ def null_census(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
 def null_overview(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Overall share of missing cells, complete rows, columns above 10/20/50 % missing."""
     columns = list(columns or df.columns)
-    shares = [F.col(f"m{i}") / F.col("rows") for i in range(len(columns))]
+    places = range(len(columns))
     counted = df.agg(
         F.count("*").alias("rows"),
         *[F.count_if(F.col(name).isNull()).alias(f"m{i}") for i, name in enumerate(columns)],
-        F.count_if(~_any([F.col(name).isNull() for name in columns])).alias("complete_rows"),
+        F.count_if(count_true([F.col(name).isNull() for name in columns]) == 0).alias("complete_rows"),
     )
-    missing = sum((F.col(f"m{i}") for i in range(len(columns))), F.lit(0))
-    above = {limit: sum(((share > limit / 100).cast("int") for share in shares), F.lit(0)) for limit in (10, 20, 50)}
+    missing = F.aggregate(F.array(*[F.col(f"m{i}") for i in places]), F.lit(0).cast("bigint"), lambda total, m: total + m)
+    above = {limit: count_true([F.col(f"m{i}") / F.col("rows") > limit / 100 for i in places]) for limit in (10, 20, 50)}
     return counted.select(
         "rows",
         "complete_rows",
@@ -134,13 +134,6 @@ def null_overview(df: DataFrame, columns: Iterable[str] | None = None) -> DataFr
     )
 
 
-def _any(conditions: list[Column]) -> Column:
-    result = F.lit(False)
-    for condition in conditions:
-        result = result | condition
-    return result
-
-
 def infinity_census(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return per_column(
         df, columns, lambda name: [F.count_if(F.abs(F.col(name)) == float("inf")).alias("infinite_count")]
