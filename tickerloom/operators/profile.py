@@ -19,12 +19,24 @@ from tickerloom.operators.quantiles import exact_quantiles
 YEAR = fixed.TRADING_DAYS_PER_YEAR
 
 
-def per_column(df: DataFrame, columns: Iterable[str], measures) -> DataFrame:
-    """One row per column from a single aggregate; `measures(name)` gives named columns."""
+# Columns per aggregate: more make generated code too large to compile well.
+COLUMN_BATCH = 25
+
+
+def per_column(df: DataFrame, columns: Iterable[str], measures, batch: int = COLUMN_BATCH) -> DataFrame:
+    """One row per column; `measures(name)` gives its named aggregates.
+
+    Columns are aggregated in batches. A batch over a stored table reads its own columns
+    only, so all batches together read the table once.
+    """
     columns = list(columns)
-    records = [F.struct(F.lit(name).alias("column"), *measures(name)).alias(f"c{i}") for i, name in enumerate(columns)]
-    wide = df.agg(*records)
-    return wide.select(F.inline(F.array(*[F.col(f"c{i}") for i in range(len(columns))])))
+    result = None
+    for start in range(0, len(columns), batch):
+        part = columns[start : start + batch]
+        records = [F.struct(F.lit(name).alias("column"), *measures(name)).alias(f"c{i}") for i, name in enumerate(part)]
+        rows = df.agg(*records).select(F.inline(F.array(*[F.col(f"c{i}") for i in range(len(part))])))
+        result = rows if result is None else result.unionByName(rows)
+    return result
 
 
 def describe(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -118,19 +130,14 @@ def null_census(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
 def null_overview(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Overall share of missing cells, complete rows, columns above 10/20/50 % missing."""
     columns = list(columns or df.columns)
-    places = range(len(columns))
-    counted = df.agg(
-        F.count("*").alias("rows"),
-        *[F.count_if(F.col(name).isNull()).alias(f"m{i}") for i, name in enumerate(columns)],
-        F.count_if(count_true([F.col(name).isNull() for name in columns]) == 0).alias("complete_rows"),
-    )
-    missing = F.aggregate(F.array(*[F.col(f"m{i}") for i in places]), F.lit(0).cast("bigint"), lambda total, m: total + m)
-    above = {limit: count_true([F.col(f"m{i}") / F.col("rows") > limit / 100 for i in places]) for limit in (10, 20, 50)}
-    return counted.select(
-        "rows",
-        "complete_rows",
-        (missing * 100.0 / (F.col("rows") * len(columns))).alias("missing_percentage"),
-        *[count.alias(f"columns_above_{limit}") for limit, count in above.items()],
+    missing = count_true([F.col(name).isNull() for name in columns])
+    counts = df.agg(F.struct(F.count("*").alias("rows"), F.count_if(missing == 0).alias("complete")).alias("c")).scalar()
+    share = F.col("missing_percentage")
+    return null_census(df, columns).agg(
+        counts["rows"].alias("rows"),
+        counts["complete"].alias("complete_rows"),
+        F.try_divide(F.sum("missing_count") * 100.0, counts["rows"] * len(columns)).alias("missing_percentage"),
+        *[F.sum((share > limit).cast("int")).cast("int").alias(f"columns_above_{limit}") for limit in (10, 20, 50)],
     )
 
 

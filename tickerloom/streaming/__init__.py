@@ -1,0 +1,5 @@
+"""No streaming operators: the work this engine covers is batch only.
+
+Text preparation, trading dates and `daily_news` are row-local steps and one distributive
+aggregate, so they take a streaming DataFrame as they are.
+"""
