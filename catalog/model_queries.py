@@ -27,12 +27,12 @@ VOCABULARY_SQL = f"""SELECT term, sum(n)::BIGINT AS occurrences, count(*) AS doc
 
 
 def fitted_tfidf(t, size: int = 200):
-    return text_vectors.fit_tfidf(t.read("documents"), "text", "doc_id", size, 2, fixed.ENGLISH_STOP_WORDS)
+    return text_vectors.fit_tfidf(t.documents, "text", "doc_id", size, 2, fixed.ENGLISH_STOP_WORDS)
 
 
 query("tfidf_vocabulary", "", VOCABULARY_SQL)(
     lambda t: text_vectors.vocabulary(
-        text_vectors.terms(t.read("documents"), "text", fixed.ENGLISH_STOP_WORDS), "doc_id", 200, 2
+        text_vectors.terms(t.documents, "text", fixed.ENGLISH_STOP_WORDS), "doc_id", 200, 2
     )
 )
 
@@ -42,7 +42,7 @@ query(
     f"""WITH c AS (SELECT doc_id, term, count(*) AS n FROM ({TERMS_SQL}) GROUP BY doc_id, term),
           w AS (SELECT c.doc_id, c.term, n * (ln((1 + (SELECT count(*) FROM documents)) / (1 + documents)) + 1) AS x FROM c JOIN ({VOCABULARY_SQL}) v ON v.term = c.term)
         SELECT doc_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS weight FROM w""",
-)(lambda t: text_vectors.tfidf_weights(t.read("documents"), fitted_tfidf(t), "text", "doc_id"))
+)(lambda t: text_vectors.tfidf_weights(t.documents, fitted_tfidf(t), "text", "doc_id"))
 
 COMPONENTS = 5
 
@@ -50,7 +50,7 @@ COMPONENTS = 5
 @query("tfidf_components", " ".join(f"tfidf_pca_{i}" for i in range(COMPONENTS)))
 def tfidf_components(t):
     model = fitted_tfidf(t)
-    vectors = model.transform(t.read("documents"), "text")
+    vectors = model.transform(t.documents, "text")
     return text_vectors.with_components(vectors, model, COMPONENTS).select(
         "doc_id", *[f"tfidf_pca_{i}" for i in range(COMPONENTS)]
     )

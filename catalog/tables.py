@@ -83,6 +83,10 @@ class Tables:
     def returns(self) -> DataFrame:
         return self.bars.withColumn("daily_return", technical.simple_return())
 
+    @cached_property
+    def documents(self) -> DataFrame:
+        return spread_small_scan(self.read("documents"), "doc_id")
+
     @cached_property
     def news(self) -> DataFrame:
         digit = F.col("doc_id") % 10
@@ -95,7 +99,7 @@ class Tables:
             .when(F.col("source") == "src2", "The CNBC Desk")
             .otherwise(F.col("source"))
         )
-        return spread_small_scan(self.read("documents"), "doc_id").select(
+        return self.documents.select(
             "doc_id",
             F.concat(F.lit("Brand#"), (1 + F.col("doc_id") % 25).cast("string")).alias("ticker"),
             F.concat(opening, F.get(F.split("text", "\n"), F.lit(0))).alias("headline"),
