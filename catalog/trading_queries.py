@@ -456,8 +456,8 @@ EQUITY_SQL = f"""WITH lifted AS MATERIALIZED ({LIFTED}), ce AS MATERIALIZED ({CA
         FROM d JOIN q ON d.date >= q.entry_date AND (q.exit_date IS NULL OR d.date < q.exit_date)),
   v AS (SELECT date, sum(quantity * (entry_price + direction * (mark - entry_price))) AS worth FROM m GROUP BY date),
   c AS (SELECT date, max_by(cash, ticker) AS cash FROM ce GROUP BY date)
-  SELECT 'sentiment_momentum' AS strategy, d.date, coalesce(last_value(c.cash IGNORE NULLS) OVER (ORDER BY d.date ROWS UNBOUNDED PRECEDING), 100000)
-    + coalesce(worth, 0) AS value FROM d LEFT JOIN v ON v.date = d.date LEFT JOIN c ON c.date = d.date"""
+  SELECT 'sentiment_momentum' AS strategy, d.date, round(coalesce(last_value(c.cash IGNORE NULLS) OVER (ORDER BY d.date ROWS UNBOUNDED PRECEDING), 100000)
+    + coalesce(worth, 0), 6) AS value FROM d LEFT JOIN v ON v.date = d.date LEFT JOIN c ON c.date = d.date"""
 
 
 def momentum_equity(t):

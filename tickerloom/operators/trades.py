@@ -240,9 +240,11 @@ def equity_curve(
         .select(
             "strategy",
             "date",
-            (
+            # To a millionth: an entry moves cash into a position, and its float noise is no loss.
+            F.round(
                 F.coalesce(F.last("cash", ignorenulls=True).over(curve_order), F.lit(initial_capital))
-                + F.coalesce(F.last("position_value", ignorenulls=True).over(curve_order), F.lit(0.0))
+                + F.coalesce(F.last("position_value", ignorenulls=True).over(curve_order), F.lit(0.0)),
+                6,
             ).alias("value"),
         )
     )
