@@ -23,7 +23,7 @@ _BOILERPLATE = (
 
 LINES_SQL = rf"""
 WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
-worded AS (SELECT rid, doc_id, text, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM texts),
+worded AS (SELECT rid, doc_id, text, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM texts),
 lines AS (SELECT rid, unnest(string_split(text, chr(10))) AS raw FROM texts),
 trimmed AS (SELECT rid, raw, trim(raw, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line FROM lines),
 measured AS (SELECT rid, raw, line, length(line) AS n,
