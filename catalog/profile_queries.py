@@ -128,12 +128,12 @@ query(
 )
 
 query(
-    "sampled_content_sentiment",
+    "content_sentiment",
     "content_vader_compound content_composite_sentiment",
 )(
-    lambda t: scoring.sampled_content_sentiment(
-        scoring.headline_sentiment(t.news, [length_scorer]), "doc_id", factories=[length_scorer]
-    ).select("doc_id", "content_vader_compound", "content_composite_sentiment")
+    lambda t: scoring.content_sentiment(scoring.headline_sentiment(t.news, [length_scorer]), [length_scorer]).select(
+        "doc_id", "content_vader_compound", "content_composite_sentiment"
+    )
 )
 
 HS = daily_news.HEADLINE_SCORES

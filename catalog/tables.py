@@ -7,7 +7,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickerloom.operators import technical
-from tickerloom.sources.files import spread_small_scan
 
 BARS_SQL = """
 SELECT ticker, date, min_by(price, rn) AS open, max(price) AS high, min(price) AS low,
@@ -61,7 +60,7 @@ class Tables:
         """
         order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
         trades = (
-            spread_small_scan(self.read("lineitem"), "l_orderkey")
+            self.read("lineitem")
             .join(self.read("part"), F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 F.col("p_brand").alias("ticker"),
@@ -85,7 +84,7 @@ class Tables:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return spread_small_scan(self.read("documents"), "doc_id")
+        return self.read("documents")
 
     @cached_property
     def news(self) -> DataFrame:

@@ -88,24 +88,18 @@ for mode, by in (("ticker", ["ticker"]), ("pooled", [])):
         query(
             "cumulative_returns_pooled",
             "log_growth",
-            f"""SELECT ticker, date, sum(ln(1 + actual_return / 100)) OVER ({order} ROWS UNBOUNDED PRECEDING) AS log_growth
+            f"""SELECT ticker, date, sum(ln(1 + actual_return)) OVER ({order} ROWS UNBOUNDED PRECEDING) AS log_growth
                 FROM ({LABELED})""",
         )(
-            lambda t: ordered.with_growth(
-                labeled(t).withColumn("small", F.col("actual_return") / 100), "small", "growth"
-            ).select("ticker", "date", F.ln("growth").alias("log_growth"))
+            lambda t: ordered.with_log_growth(labeled(t), "actual_return", "log_growth").select("ticker", "date", "log_growth")
         )
         query(
             "drawdown_pooled",
             "drawdown",
             f"""SELECT ticker, date, exp(g - max(g) OVER ({order} ROWS UNBOUNDED PRECEDING)) - 1 AS drawdown
-                FROM (SELECT *, sum(ln(1 + actual_return / 100)) OVER ({order} ROWS UNBOUNDED PRECEDING) AS g FROM ({LABELED}))""",
+                FROM (SELECT *, sum(ln(1 + actual_return)) OVER ({order} ROWS UNBOUNDED PRECEDING) AS g FROM ({LABELED}))""",
         )(
-            lambda t: ordered.with_drawdown(
-                ordered.with_growth(labeled(t).withColumn("small", F.col("actual_return") / 100), "small", "growth"),
-                "growth",
-                "drawdown",
-            ).select("ticker", "date", "drawdown")
+            lambda t: ordered.with_return_drawdown(labeled(t), "actual_return", "drawdown").select("ticker", "date", "drawdown")
         )
 
     query(
@@ -174,9 +168,9 @@ query(
         FROM (SELECT avg(x) AS m, stddev_pop(x) AS v, min(exp(g - k) - 1) AS d, avg((x > 0)::INT) AS w, avg(x) FILTER (x > 0) AS a,
                 avg(x) FILTER (x < 0) AS l, stddev_pop(x) FILTER (x < 0.02 / 252) AS s
               FROM (SELECT x, g, max(g) OVER (ORDER BY date, ticker ROWS UNBOUNDED PRECEDING) AS k
-                    FROM (SELECT ticker, date, actual_return / 100 AS x, sum(ln(1 + actual_return / 100)) OVER (ORDER BY date, ticker ROWS UNBOUNDED PRECEDING) AS g
+                    FROM (SELECT ticker, date, actual_return AS x, sum(ln(1 + actual_return)) OVER (ORDER BY date, ticker ROWS UNBOUNDED PRECEDING) AS g
                           FROM ({LABELED}))))""",
-)(lambda t: risk.risk_metrics(labeled(t).withColumn("x", F.col("actual_return") / 100), "x"))
+)(lambda t: risk.risk_metrics(labeled(t), "actual_return"))
 
 # Classification ------------------------------------------------------------------------------
 

@@ -122,3 +122,33 @@ def test_stratified_folds_are_even(spark):
     counts = splits.with_stratified_fold(df, "y", ["id"]).groupBy("y", "fold").count().toPandas()
     for _, part in counts.groupby("y"):
         assert len(part) == 5 and part["count"].max() < 1.25 * part["count"].min()
+
+
+def test_exponential_means_of_mixed_spans(spark):
+    import numpy as np
+    import pandas as pd
+
+    from tickerloom.operators import technical
+
+    days = pd.date_range("2000-01-01", periods=5000).date
+    close = 100 + np.random.default_rng(3).normal(0, 1, 5000).cumsum() * 0.1
+    df = spark.createDataFrame(pd.DataFrame({"ticker": "A", "date": days, "close": close}))
+    ours = technical.with_ema(df, (2, 200)).toPandas().sort_values("date")
+    for span in (2, 200):
+        want = pd.Series(close).ewm(span=span, adjust=True).mean()
+        np.testing.assert_allclose(ours[f"ema_{span}"], want, rtol=1e-9)
+
+
+def test_pooled_drawdown_stays_finite(spark):
+    import numpy as np
+    import pandas as pd
+
+    from tickerloom.operators import ordered
+
+    draw = np.random.default_rng(5)
+    returns = draw.normal(0.01, 0.05, 200_000)
+    days = np.repeat(pd.date_range("1990-01-01", periods=200).date, 1000)
+    frame = pd.DataFrame({"ticker": np.tile([f"T{i:04d}" for i in range(1000)], 200), "date": days, "r": returns})
+    ours = ordered.with_return_drawdown(spark.createDataFrame(frame), "r", "dd").toPandas().sort_values(["date", "ticker"])
+    log = np.cumsum(np.log1p(returns))
+    np.testing.assert_allclose(ours["dd"], np.expm1(log - np.maximum.accumulate(log)), rtol=1e-6, atol=1e-9)

@@ -62,20 +62,24 @@ def rolling_median(value: Column, rows: int, min_periods: int) -> Column:
     return F.when(size >= min_periods, middle)
 
 
-def ema_rows(spans: Iterable[int]) -> int:
-    """Block length after which the weight of the largest span falls below 1e-17."""
-    decay = 1 - 2 / (max(spans) + 1)
+def ema_rows(span: int) -> int:
+    """Block length after which the span's weight falls below 1e-17."""
+    decay = 1 - 2 / (span + 1)
     return math.ceil(17 * math.log(10) / -math.log(decay))
 
 
-def ema(value: Column | str, span: int, block_rows: int, position: Column) -> Column:
+def ema(value: Column | str, span: int, position: Column) -> Column:
     """Exponential mean with weights (1 - alpha)^k over all earlier rows, alpha = 2/(span+1).
 
-    Rows are cut into blocks. Inside a block a running sum of value/decay^offset gives
-    the block's part in one pass; the block before it enters with its total. Rows two
+    Rows are cut into blocks, as long as the span needs: weights inside a block then stay
+    between 1 and 1e17. Inside a block a running sum of value/decay^offset gives the
+    block's part in one pass; the block before it enters with its total. Rows two
     blocks back weigh less than 1e-17 and cannot change a double. `position` is the
-    row's 0-based place in its ticker; `block_rows` comes from `ema_rows`.
+    row's 0-based place in its ticker.
     """
+    if span <= 1:
+        return F.col(value) if isinstance(value, str) else value
+    block_rows = ema_rows(span)
     value = F.col(value) if isinstance(value, str) else value
     decay = 1 - 2 / (span + 1)
     offset = position % block_rows

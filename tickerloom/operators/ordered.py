@@ -43,23 +43,62 @@ def with_previous(df: DataFrame, value: str, name: str, start, by: Iterable[str]
     )
 
 
-def with_growth(df: DataFrame, value: str, name: str, by: Iterable[str] = ()) -> DataFrame:
-    """Adds the running product of (1 + value)."""
+def with_running_sums(df: DataFrame, terms: dict[str, Column], by: Iterable[str] = ()) -> DataFrame:
+    """Adds the running sum of every term; null until the series (pooled: the date) has a value."""
     by = list(by)
-    factor = 1 + F.col(value)
-    inside = F.product(factor).over(running(_in_order(by)))
+    inside = {name: F.sum(term).over(running(_in_order(by))) for name, term in terms.items()}
     if by:
-        return df.withColumn(name, inside)
-    per_date = df.groupBy("date").agg(F.product(factor).alias("_p"))
-    before = per_date.select("date", F.coalesce(F.product("_p").over(_earlier_dates()), F.lit(1.0)).alias("_before"))
-    return (
-        df.withColumn("_inside", inside)
-        .join(before, "date")
-        .withColumn(name, F.col("_inside") * F.col("_before"))
-        .drop("_inside", "_before")
+        return df.withColumns(inside)
+    per_date = df.groupBy("date").agg(*[F.sum(term).alias(f"_total{name}") for name, term in terms.items()])
+    before = per_date.select(
+        "date",
+        *[F.coalesce(F.sum(f"_total{name}").over(_earlier_dates()), F.lit(0)).alias(f"_before{name}") for name in terms],
+    )
+    summed = df.withColumns(inside).join(before, "date")
+    return summed.withColumns({name: F.col(name) + F.col(f"_before{name}") for name in terms}).drop(
+        *[f"_before{name}" for name in terms]
     )
 
 
+def _with_log_parts(df: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """Adds running sums of (1 + value): logarithms of the sizes, counts of negative and of zero factors."""
+    factor = 1 + F.col(value)
+    terms = {
+        "_log": F.when(factor != 0, F.ln(F.abs(factor))).when(factor == 0, 0.0),
+        "_negative": (factor < 0).cast("long"),
+        "_zero": (factor == 0).cast("long"),
+    }
+    return with_running_sums(df, terms, by)
+
+
+def with_log_growth(df: DataFrame, value: str, name: str, by: Iterable[str] = ()) -> DataFrame:
+    """Adds the logarithm of the running product of (1 + value); null where that is not positive."""
+    grown = _with_log_parts(df, value, list(by))
+    positive = (F.col("_zero") == 0) & (F.col("_negative") % 2 == 0)
+    return grown.withColumn(name, F.when(positive, F.col("_log"))).drop("_log", "_negative", "_zero")
+
+
+def with_growth(df: DataFrame, value: str, name: str, by: Iterable[str] = ()) -> DataFrame:
+    """Adds the running product of (1 + value), from sums of logarithms.
+
+    A product beyond the double range is infinite; `with_return_drawdown` does not go through it.
+    """
+    sign = F.when(F.col("_negative") % 2 == 1, -1.0).otherwise(1.0)
+    product = F.when(F.col("_zero") > 0, 0.0).otherwise(sign * F.exp("_log"))
+    return _with_log_parts(df, value, list(by)).withColumn(name, product).drop("_log", "_negative", "_zero")
+
+
+def with_return_drawdown(df: DataFrame, value: str, name: str, by: Iterable[str] = ()) -> DataFrame:
+    """Adds the distance of the running product of (1 + value) from its peak, kept in logarithms throughout."""
+    by = list(by)
+    grown = _with_log_parts(df, value, by)
+    positive = (F.col("_zero") == 0) & (F.col("_negative") % 2 == 0)
+    peaked = with_peak(grown.withColumn("_up", F.when(positive, F.col("_log"))), "_up", "_top", by)
+    gap = F.col("_log") - F.col("_top")
+    drawdown = F.when(F.col("_zero") > 0, -1.0).when(positive, F.expm1(gap)).otherwise(-F.exp(gap) - 1)
+    return peaked.withColumn(name, drawdown).drop("_log", "_negative", "_zero", "_up", "_top")
+
+
 def with_peak(df: DataFrame, value: str, name: str, by: Iterable[str] = ()) -> DataFrame:
     """Adds the running maximum."""
     by = list(by)

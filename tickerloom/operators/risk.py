@@ -32,7 +32,7 @@ def risk_metrics(
     by = list(by)
     daily_free = risk_free / YEAR
     x = F.col(value)
-    curve = ordered.with_drawdown(ordered.with_growth(df, value, "_growth", by), "_growth", "_drawdown", by)
+    curve = ordered.with_return_drawdown(df, value, "_drawdown", by)
     measures = [
         F.avg(x).alias("mean_daily_return"),
         F.stddev_pop(x).alias("volatility"),

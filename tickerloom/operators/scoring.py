@@ -19,88 +19,9 @@ POLARITY_SCORES = ("textblob_polarity", "textblob_subjectivity")
 MODEL_SCORES = ("finbert_positive", "finbert_negative", "finbert_neutral")
 EXTERNAL_SCORES = LEXICON_SCORES + POLARITY_SCORES + MODEL_SCORES
 
-MODEL_TEXT_LIMIT = 512
-
-
-def lexicon_scorer() -> Scorer:
-    """Rule and lexicon scores of the public vaderSentiment package."""
-    from vaderSentiment.vaderSentiment import SentimentIntensityAnalyzer
-
-    analyzer = SentimentIntensityAnalyzer()
-
-    def score(texts: list[str]) -> Mapping[str, list[float]]:
-        found = [analyzer.polarity_scores(text) for text in texts]
-        keys = {"vader_compound": "compound", "vader_positive": "pos", "vader_negative": "neg", "vader_neutral": "neu"}
-        return {name: [item[key] for item in found] for name, key in keys.items()}
-
-    return score
-
-
-def polarity_scorer() -> Scorer:
-    """Polarity and subjectivity of the public textblob package."""
-    from textblob import TextBlob
-
-    def score(texts: list[str]) -> Mapping[str, list[float]]:
-        found = [TextBlob(text).sentiment for text in texts]
-        return {
-            "textblob_polarity": [item.polarity for item in found],
-            "textblob_subjectivity": [item.subjectivity for item in found],
-        }
-
-    return score
-
-
-def model_scorer(
-    names: Iterable[str] = ("ProsusAI/finbert", "nlptown/bert-base-multilingual-uncased-sentiment"),
-    labels: tuple[str, str, str] = ("negative", "neutral", "positive"),
-) -> ScorerFactory:
-    """Class probabilities of a sequence classifier; the first model that loads is used.
-
-    The classifier sees at most its own input limit of a text, as in its definition.
-    `labels` is the order of the model's outputs.
-    """
-    names = tuple(names)
-
-    def load() -> Scorer:
-        import torch
-        from transformers import AutoModelForSequenceClassification, AutoTokenizer
-
-        failure: Exception | None = None
-        for name in names:
-            try:
-                tokenizer = AutoTokenizer.from_pretrained(name)
-                model = AutoModelForSequenceClassification.from_pretrained(name).eval()
-                break
-            except OSError as error:
-                failure = error
-        else:
-            raise failure
-
-        def score(texts: list[str]) -> Mapping[str, list[float]]:
-            inputs = tokenizer(
-                [text[:MODEL_TEXT_LIMIT] for text in texts],
-                return_tensors="pt",
-                truncation=True,
-                padding=True,
-                max_length=MODEL_TEXT_LIMIT,
-            )
-            with torch.no_grad():
-                shares = torch.softmax(model(**inputs).logits, dim=-1).tolist()
-            return {f"finbert_{label}": [row[i] for row in shares] for i, label in enumerate(labels)}
-
-        return score
-
-    return load
-
-
 def _run(factories: list[ScorerFactory], column: str, outputs: tuple[str, ...], batch_size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorers = []
-        for factory in factories:
-            try:
-                scorers.append(factory())
-            except ImportError:
-                continue  # without its package a scorer's scores stay 0
+        scorers = [factory() for factory in factories]
         for batch in batches:
             for start in range(0, len(batch), batch_size):
                 part = batch.iloc[start : start + batch_size].copy()
@@ -166,19 +87,8 @@ def headline_sentiment(news: DataFrame, factories: Iterable[ScorerFactory] = ())
     return scored.withColumnsRenamed(names)
 
 
-def sampled_content_sentiment(
-    scored: DataFrame, key: str, size: int = 100, seed: int = 42, factories: Iterable[ScorerFactory] = ()
-) -> DataFrame:
-    """Content scores for a random sample of articles, the headline's scores for the rest.
-
-    The sample is the `size` articles with the smallest hash of key and seed: the same
-    on every run, found by a top-k over partitions.
-    """
-    sample = scored.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(size).select(key, "content")
-    content = analyze_dataframe(sample, "content", factories).select(
-        key, *[F.col(name).alias(f"_{name}") for name in CONTENT_SCORES]
-    )
-    joined = scored.join(content, key, "left")
-    return joined.withColumns(
-        {f"content_{name}": F.coalesce(f"_{name}", f"headline_{name}") for name in CONTENT_SCORES}
-    ).drop(*[f"_{name}" for name in CONTENT_SCORES])
+def content_sentiment(scored: DataFrame, factories: Iterable[ScorerFactory] = ()) -> DataFrame:
+    """Adds the scores of every article's content as `content_<score>`."""
+    content = analyze_dataframe(scored.withColumn("_content", F.col("content")), "_content", factories)
+    extra = [c for c in content.columns if c not in scored.columns and c not in CONTENT_SCORES]
+    return content.withColumnsRenamed({name: f"content_{name}" for name in CONTENT_SCORES}).drop(*extra)

@@ -15,7 +15,6 @@ from tickerloom.functions.numeric import (
     by_ticker,
     direction,
     ema,
-    ema_rows,
     flag,
     lag_change,
     rolling,
@@ -90,22 +89,20 @@ def with_rsi(bars: DataFrame, rows: int = 14) -> DataFrame:
 
 def with_ema(bars: DataFrame, spans: Iterable[int] = SMA_WINDOWS) -> DataFrame:
     spans = tuple(spans)
-    block_rows = ema_rows(spans)
     placed = bars.withColumn(POSITION, F.row_number().over(by_ticker()) - 1)
-    means = {f"ema_{span}": ema("close", span, block_rows, F.col(POSITION)) for span in spans}
+    means = {f"ema_{span}": ema("close", span, F.col(POSITION)) for span in spans}
     return placed.withColumns(means).drop(POSITION)
 
 
 def with_macd(bars: DataFrame) -> DataFrame:
     """Difference of two exponential means, its own exponential mean, and the gap."""
     fast, slow = MACD_SPANS
-    block_rows = ema_rows((slow,))
     position = F.col(POSITION)
     placed = bars.withColumn(POSITION, F.row_number().over(by_ticker()) - 1)
     macd = placed.withColumn(
-        "macd", ema("close", fast, block_rows, position) - ema("close", slow, block_rows, position)
+        "macd", ema("close", fast, position) - ema("close", slow, position)
     )
-    signal = macd.withColumn("macd_signal", ema("macd", SIGNAL_SPAN, block_rows, position))
+    signal = macd.withColumn("macd_signal", ema("macd", SIGNAL_SPAN, position))
     return signal.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal")).drop(POSITION)
 
 
@@ -136,17 +133,16 @@ def technical_features(bars: DataFrame, volatility_windows: Iterable[int] = VOLA
         }
     )
 
-    block_rows = ema_rows((*SMA_WINDOWS, *MACD_SPANS))
     level: dict[str, Column] = {}
     for rows in SMA_WINDOWS:
         level[f"sma_{rows}"] = rolling(F.avg, "close", rows)
-        level[f"ema_{rows}"] = ema("close", rows, block_rows, position)
+        level[f"ema_{rows}"] = ema("close", rows, position)
     for rows in volatility_windows:
         level[f"volatility_{rows}d"] = rolling(F.stddev_samp, "daily_return", rows)
         level[f"high_low_ratio_{rows}d"] = rolling(F.avg, "_spread", rows)
     level["_gain"] = rolling(F.avg, "_gain", 14)
     level["_loss"] = rolling(F.avg, "_loss", 14)
-    level["_fast"], level["_slow"] = (ema("close", span, block_rows, position) for span in MACD_SPANS)
+    level["_fast"], level["_slow"] = (ema("close", span, position) for span in MACD_SPANS)
     level["_deviation"] = rolling(F.stddev_samp, "close", 20)
     level["volume_sma_10"] = rolling(F.avg, "volume", 10)
     for days in (1, 3, 5):
@@ -163,7 +159,7 @@ def technical_features(bars: DataFrame, volatility_windows: Iterable[int] = VOLA
     derived["price_volume"] = close * F.col("volume")
     third = second.withColumns(derived)
 
-    signal = third.withColumn("macd_signal", ema("macd", SIGNAL_SPAN, block_rows, position))
+    signal = third.withColumn("macd_signal", ema("macd", SIGNAL_SPAN, position))
     return signal.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal")).drop(
         POSITION, "_gain", "_loss", "_spread", "_fast", "_slow", "_deviation"
     )

@@ -103,13 +103,3 @@ def normalise_bars(raw: DataFrame, ticker: str) -> DataFrame:
         F.lit(ticker).alias("ticker"),
         *[F.col(name).cast("double").alias(name.lower()) for name in ("Open", "High", "Low", "Close", "Volume")],
     )
-
-
-def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows spread by key over all cores when the scan has fewer tasks than cores.
-
-    For stages that work long on every row. A table of many files is already read by
-    enough tasks and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
