@@ -29,6 +29,9 @@ MAX_LOST_SHARE = 0.5
 MIN_OPEN_WORDS = 8
 MAX_BOILERPLATE_CHARS = 160
 FEW_REPEATS = 24
+RESULTS = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "clean_text", "lost_share", "base_failed", "kept",
+)
 
 
 def count_of(text: Column, pattern: str) -> Column:
@@ -119,4 +122,10 @@ def clean_lines(docs: DataFrame, max_lost_share: float = MAX_LOST_SHARE) -> Data
     judged = counted.withColumns({"lost_share": F.coalesce(lost, F.lit(0.0)), "base_failed": failed}).drop(
         "words_", "lines_", "hashes_", "ordered_", "worded_", "clean_chars_"
     )
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("lost_share") <= max_lost_share))
+    verdict = judged.withColumn("kept", ~F.col("base_failed") & (F.col("lost_share") <= max_lost_share))
+    # An outer explode of one struct: a filter on the results stays above it, instead of being
+    # pushed down to the scan with a copy of every expression it needs.
+    rest = [name for name in docs.columns if name not in RESULTS]
+    return verdict.select(*rest, F.explode_outer(F.array(F.struct(*RESULTS))).alias("result_")).select(
+        *rest, *[F.col("result_")[name].alias(name) for name in RESULTS]
+    )
