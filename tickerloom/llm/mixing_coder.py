@@ -2,11 +2,15 @@
 
 A block codes its ids on its own: tables and coder start anew, and a CRC-32 of its ids ends
 its header. Per id, the order-2 table (hash of the two ids before) proposes an id and one
-binary decision says whether it is right; if not, the order-1 table proposes another; if that
-is wrong too, the id's high byte is coded bit by bit in a tree whose probabilities mix
-order-0 and order-1 counts, and the low byte is stored as it is. Each proposal's decision mixes two adaptive
-predictions in the logistic domain with learned weights. All arithmetic is on integers, so every
-machine decodes the same. numpy runs a step of all blocks of a group at once.
+binary decision says whether it is right; if not, the order-1 table proposes another. Each of
+these decisions mixes two adaptive predictions in the logistic domain with learned weights.
+If both are wrong, the id's high byte is coded as two symbols of four bits, whose cumulative
+frequencies mix an order-0 and an order-1 table, and the low byte is stored as it is. All
+arithmetic is on integers, so every machine decodes the same. numpy runs a step of all blocks
+of a group at once.
+
+The range coder has 48 bits of state and moves 16 at a time, as soon as the range falls below
+`LEAST`. A range that then crosses a carry is cut at the carry, so no carry ever travels.
 """
 
 from __future__ import annotations
@@ -16,13 +20,24 @@ import zlib
 
 import numpy as np
 
-BLOCK_IDS = 8192
+BLOCK_IDS = 4096
 LANES = 1024
 HASH = 2048
 HEADER = struct.Struct("<4sIIII")
-MAGIC = b"TLB1"
+MAGIC = b"TLB2"
 ONE = 1 << 16
 TABLE = 4096
+WORD = 16
+TAIL = (1 << 32) - 1
+LEAST = 1 << 20
+# Cumulative frequencies of 16 symbols: 17 bounds from 0 to TOTAL, at least LEAST_SHARE apart.
+TOTAL_BITS = 14
+TOTAL = 1 << TOTAL_BITS
+LEAST_SHARE = 8
+BOUNDS = 17
+SETS = 17
+GROWTH_STEPS = 64
+GROWTH_WORDS = 1024
 
 
 def _squash_table() -> np.ndarray:
@@ -30,56 +45,89 @@ def _squash_table() -> np.ndarray:
     return np.clip(np.floor(ONE / (1 + np.exp(-x)) + 0.5), 64, ONE - 64).astype(np.int64)
 
 
+def _goal_table() -> np.ndarray:
+    """Per symbol, the bounds that give it all but the least shares of the others."""
+    symbol, bound = np.mgrid[0:16, 0:BOUNDS]
+    return np.where(bound <= symbol, LEAST_SHARE * bound, TOTAL - LEAST_SHARE * (16 - bound)).astype(np.int16)
+
+
 SQUASH = _squash_table()
 # The inverse by counting, on twelve-bit probabilities.
 STRETCH = np.clip(np.searchsorted(SQUASH, (np.arange(TABLE) * 16 + 8)), 0, 4094).astype(np.int64) - 2047
+GOALS = _goal_table()
+
+Lanes = slice | np.ndarray
 
 
 class _Coder:
-    """Binary range coders of all lanes; encodes given bits or decodes them."""
+    """Range coders of all lanes; encodes given decisions or decodes them."""
 
     def __init__(self, lanes: int, capacity: int, data: np.ndarray | None = None):
         self.low = np.zeros(lanes, dtype=np.int64)
-        self.high = np.full(lanes, 0xFFFFFFFF, dtype=np.int64)
+        self.range = np.full(lanes, (1 << 48) - 1, dtype=np.int64)
         self.at = np.zeros(lanes, dtype=np.int64)
         self.decoding = data is not None
-        self.data = data if self.decoding else np.zeros((lanes, capacity), dtype=np.uint8)
+        self.data = data if self.decoding else np.zeros((lanes, capacity), dtype=np.uint16)
         if self.decoding:
-            self.value = np.zeros(lanes, dtype=np.int64)
-            for _ in range(4):
-                self.value = self.value << 8 | self.data[np.arange(lanes), self.at]
-                self.at += 1
+            # The coded value, less `low`.
+            self.ahead = np.zeros(lanes, dtype=np.int64)
+            for word in range(3):
+                self.ahead = self.ahead << WORD | self.data[:, word]
+            self.at += 3
 
-    def code(self, lanes: np.ndarray, chance: np.ndarray, bits: np.ndarray | None) -> np.ndarray:
-        """Code one decision per lane; `chance` of a one in 1/65536."""
-        low, high = self.low[lanes], self.high[lanes]
-        span = high - low
-        middle = low + (span >> 16) * chance + (((span & 0xFFFF) * chance) >> 16)
+    def _take(self, lanes: Lanes, skipped: np.ndarray, size: np.ndarray) -> None:
+        """Narrow to `size` values after `skipped`, and move words out of lanes that became narrow."""
+        self.low[lanes] += skipped
+        self.range[lanes] = size
         if self.decoding:
-            value = self.value[lanes]
-            bits = value <= middle
-        high = np.where(bits, middle, high)
-        low = np.where(bits, low, middle + 1)
-        moving = np.flatnonzero((low ^ high) < 1 << 24)
-        while len(moving):
-            rows, at = lanes[moving], self.at[lanes[moving]]
+            self.ahead[lanes] -= skipped
+        narrow = np.flatnonzero(size < LEAST)
+        rows = narrow if isinstance(lanes, slice) else lanes[narrow]
+        while len(rows):
+            low, size, at = self.low[rows], self.range[rows], self.at[rows]
+            crosses = (low ^ (low + size - 1)) > TAIL
+            size = np.where(crosses, -low & (LEAST - 1), size) << WORD
             if self.decoding:
-                value[moving] = (value[moving] << 8 & 0xFFFFFFFF) | self.data[rows, at]
+                self.ahead[rows] = self.ahead[rows] << WORD | self.data[rows, at]
             else:
-                self.data[rows, at] = high[moving] >> 24
-            self.at[rows] += 1
-            low[moving] = low[moving] << 8 & 0xFFFFFFFF
-            high[moving] = (high[moving] << 8 & 0xFFFFFFFF) | 255
-            moving = moving[(low[moving] ^ high[moving]) < 1 << 24]
-        self.low[lanes], self.high[lanes] = low, high
+                self.data[rows, at] = low >> 32
+            self.at[rows] = at + 1
+            self.low[rows] = (low & TAIL) << WORD
+            self.range[rows] = size
+            rows = rows[size < LEAST]
+
+    def bit(self, lanes: Lanes, chance: np.ndarray, bits: np.ndarray | None) -> np.ndarray:
+        """Code one decision per lane; `chance` of a one in 1/65536."""
+        size = self.range[lanes]
+        cut = (size >> 16) * chance
         if self.decoding:
-            self.value[lanes] = value
+            bits = self.ahead[lanes] < cut
+        self._take(lanes, np.where(bits, 0, cut), np.where(bits, cut, size - cut))
         return bits
 
+    def symbol(self, lanes: np.ndarray, bounds: np.ndarray, symbols: np.ndarray | None) -> np.ndarray:
+        """Code one of 16 symbols per lane, by its bounds in 1/TOTAL."""
+        unit = self.range[lanes] >> TOTAL_BITS
+        if self.decoding:
+            value = np.minimum(self.ahead[lanes] // unit, TOTAL - 1).astype(np.int16)
+            symbols = (bounds[:, 1:] <= value[:, None]).sum(axis=1)
+        row = np.arange(len(symbols)) * BOUNDS + symbols
+        flat = bounds.ravel()
+        start = flat.take(row).astype(np.int64)
+        self._take(lanes, unit * start, unit * (flat.take(row + 1) - start))
+        return symbols
+
+    def make_room(self) -> None:
+        """Room for `GROWTH_WORDS` more words in every lane."""
+        missing = int(self.at.max(initial=0)) + GROWTH_WORDS - self.data.shape[1]
+        if missing > 0:
+            more = max(missing, self.data.shape[1] // 2)
+            self.data = np.concatenate([self.data, np.zeros((len(self.at), more), dtype=np.uint16)], axis=1)
+
     def finish(self) -> None:
         rows = np.arange(len(self.low))
-        for shift in (24, 16, 8, 0):
-            self.data[rows, self.at] = self.low >> shift & 255
+        for shift in (32, 16, 0):
+            self.data[rows, self.at] = self.low >> shift & 0xFFFF
             self.at += 1
 
 
@@ -87,77 +135,111 @@ class _Decision:
     """One yes-or-no decision per lane: two adaptive chances mixed with learned weights."""
 
     def __init__(self, lanes: int, first: int, second: int):
-        self.chances = (np.full((lanes, first), ONE // 2, dtype=np.int64), np.full((lanes, second), ONE // 2, dtype=np.int64))
-        self.weights = np.full((lanes, 2), 22000, dtype=np.int64)
+        self.widths = (first, second)
+        self.chances = tuple(np.full(lanes * width, ONE // 2, dtype=np.int64) for width in self.widths)
+        self.weights = tuple(np.full(lanes, 22000, dtype=np.int64) for _ in self.widths)
 
-    def code(self, coder: _Coder, lanes: np.ndarray, contexts: tuple, bits: np.ndarray | None) -> np.ndarray:
-        chances = [table[lanes, context] for table, context in zip(self.chances, contexts)]
-        stretched = [STRETCH[c >> 4] for c in chances]
-        weights = [self.weights[lanes, k] for k in range(2)]
+    def code(self, coder: _Coder, lanes: Lanes, numbers: np.ndarray, contexts: tuple, bits: np.ndarray | None) -> np.ndarray:
+        cells = [numbers * width + context for width, context in zip(self.widths, contexts)]
+        chances = [table.take(cell) for table, cell in zip(self.chances, cells)]
+        stretched = [STRETCH.take(c >> 4) for c in chances]
+        weights = [w[lanes] for w in self.weights]
         total = (weights[0] * stretched[0] + weights[1] * stretched[1]) >> 15
-        chance = SQUASH[np.clip(total, -2047, 2047) + 2047]
-        bits = coder.code(lanes, chance, bits)
+        chance = SQUASH.take(np.clip(total, -2047, 2047) + 2047)
+        bits = coder.bit(lanes, chance, bits)
         miss = np.where(bits, ONE - 1, 0) - chance
+        goal = np.where(bits, ONE - 64, 64)
         for k in range(2):
-            self.weights[lanes, k] = np.clip(weights[k] + ((stretched[k] * miss) >> 13), -ONE, 2 * ONE)
-            self.chances[k][lanes, contexts[k]] = chances[k] + ((np.where(bits, ONE - 64, 64) - chances[k]) >> 4)
+            self.chances[k][cells[k]] = chances[k] + ((goal - chances[k]) >> 4)
+            self.weights[k][lanes] = np.clip(weights[k] + ((stretched[k] * miss) >> 13), -ONE, 2 * ONE)
         return bits
 
 
+class _Proposals:
+    """Per lane, a table from a context's hash to the id last seen there and a trust from 0 to 3."""
+
+    def __init__(self, lanes: int):
+        self.cells = np.zeros(lanes * HASH, dtype=np.int32)
+
+    def look(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        cell = self.cells.take(at)
+        return cell, cell & 0xFFFF, cell >> 16
+
+    def learn(self, at: np.ndarray, found: tuple[np.ndarray, np.ndarray, np.ndarray], symbol: np.ndarray) -> None:
+        cell, guess, trust = found
+        doubted = np.where(trust > 0, cell - ONE, symbol)
+        self.cells[at] = np.where(guess == symbol, cell + (trust < 3) * ONE, doubted)
+
+
+class _HighByte:
+    """The high byte as two symbols; order-0 and order-1 bounds are averaged and both learn."""
+
+    def __init__(self, lanes: int):
+        even = np.arange(BOUNDS, dtype=np.int16) * (TOTAL // 16)
+        self.order0 = np.tile(even, (lanes * SETS, 1))
+        self.order1 = np.tile(even, (lanes * 16 * SETS, 1))
+
+    def code(self, coder: _Coder, lanes: np.ndarray, before: np.ndarray, byte: np.ndarray | None) -> np.ndarray:
+        symbols, node = [], 0
+        for shift in (4, 0):
+            at0, at1 = lanes * SETS + node, (lanes * 16 + before) * SETS + node
+            bounds0, bounds1 = self.order0.take(at0, axis=0), self.order1.take(at1, axis=0)
+            symbol = coder.symbol(lanes, (bounds0 >> 1) + (bounds1 >> 1), None if byte is None else byte >> shift & 15)
+            goal = GOALS.take(symbol, axis=0)
+            self.order0[at0] = bounds0 + ((goal - bounds0) >> 5)
+            self.order1[at1] = bounds1 + ((goal - bounds1) >> 4)
+            symbols.append(symbol)
+            node = symbol + 1
+        return symbols[0] << 4 | symbols[1]
+
+
 def _run(lengths: np.ndarray, coder: _Coder, ids: np.ndarray, lows: np.ndarray) -> np.ndarray:
     """Code (or decode into) `ids` [steps, lanes]; lanes are in order of falling length. Returns raw bytes used per lane."""
     lanes = len(lengths)
     decoding = coder.decoding
     first, second = _Decision(lanes, 8, 256), _Decision(lanes, 4, 256)
-    order2, trust2 = np.zeros((lanes, HASH), dtype=np.uint16), np.zeros((lanes, HASH), dtype=np.uint8)
-    order1, trust1 = np.zeros((lanes, HASH), dtype=np.uint16), np.zeros((lanes, HASH), dtype=np.uint8)
-    tree0 = np.full((lanes, 256), ONE // 2, dtype=np.int32)
-    tree1 = np.full((lanes, 16 * 256), ONE // 2, dtype=np.int32)
+    order2, order1, high = _Proposals(lanes), _Proposals(lanes), _HighByte(lanes)
     before, before2 = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
     raw = np.zeros(lanes, dtype=np.int64)
     every = np.arange(lanes)
-    active = (lengths[None, :] > np.arange(len(ids))[:, None]).sum(axis=1)
+    active = lanes - np.searchsorted(lengths[::-1], np.arange(len(ids)), side="right")
     for step in range(len(ids)):
+        if not decoding and step % GROWTH_STEPS == 0:
+            coder.make_room()
         n = int(active[step])
-        rows, a, b = every[:n], before[:n], before2[:n]
-        at2 = (a * 40503 + b * 30011 + (a >> 5)) % 65521 % HASH
-        at1 = (a * 40503) % 65521 % HASH
-        guess2, guess1 = order2[rows, at2].astype(np.int64), order1[rows, at1].astype(np.int64)
-        sure2, sure1 = trust2[rows, at2], trust1[rows, at1]
-        sign = at1 & 255
-        truth = None if decoding else ids[step, :n].astype(np.int64)
-        contexts = (sure2.astype(np.int64) * 2 + (guess1 == guess2), sign)
-        hit = first.code(coder, rows, contexts, None if decoding else truth == guess2)
-        symbol = np.where(hit, guess2, 0)
-        left = np.flatnonzero(~hit & (guess1 != guess2))
-        hit1 = np.zeros(n, dtype=bool)
+        now, rows, a, b = slice(0, n), every[:n], before[:n], before2[:n]
+        mixed = a * 0x9E3779B1
+        hash1 = mixed >> 15 & (HASH - 1)
+        at1, at2 = rows * HASH + hash1, rows * HASH + ((mixed + b * 0x85EBCA6B) >> 15 & (HASH - 1))
+        found2, found1 = order2.look(at2), order1.look(at1)
+        guess2, guess1 = found2[1], found1[1]
+        sign = hash1 & 255
+        truth = None if decoding else ids[step, :n].astype(np.int32)
+        same = guess1 == guess2
+        hit = first.code(coder, now, rows, (found2[2] * 2 + same, sign), None if decoding else truth == guess2)
+        symbol = np.where(hit, guess2, 0) if decoding else truth
+        left = np.flatnonzero(~(hit | same))
+        wrong = ~hit
         if len(left):
-            hit1[left] = second.code(coder, left, (sure1[left].astype(np.int64), sign[left]), None if decoding else truth[left] == guess1[left])
-            symbol = np.where(hit1, guess1, symbol)
-        left = np.flatnonzero(~hit & ~hit1)
+            other = guess1[left]
+            hit1 = second.code(coder, left, left, (found1[2][left], sign[left]), None if decoding else truth[left] == other)
+            good = left[hit1]
+            wrong[good] = False
+            if decoding:
+                symbol[good] = guess1[good]
+        left = np.flatnonzero(wrong)
         if len(left):
-            node, root = np.ones(len(left), dtype=np.int64), (a[left] & 15) * 256
-            for bit in range(7, -1, -1):
-                p0, p1 = tree0[left, node], tree1[left, root + node]
-                chance = np.clip((p0 + p1.astype(np.int64)) >> 1, 64, ONE - 64)
-                bits = coder.code(left, chance, None if decoding else (truth[left] >> (8 + bit)) & 1 == 1)
-                goal = np.where(bits, ONE - 64, 64)
-                tree0[left, node] = p0 + ((goal - p0) >> 5)
-                tree1[left, root + node] = p1 + ((goal - p1) >> 4)
-                node = node * 2 + bits
+            at = raw[left]
+            byte = high.code(coder, left, a[left] & 15, None if decoding else truth[left] >> 8)
             if decoding:
-                symbol[left] = (node - 256) << 8 | lows[left, raw[left]]
+                symbol[left] = byte << 8 | lows[left, at]
             else:
-                lows[left, raw[left]] = truth[left] & 255
-                symbol[left] = truth[left]
-            raw[left] += 1
+                lows[left, at] = truth[left] & 255
+            raw[left] = at + 1
         if decoding:
             ids[step, :n] = symbol
-        for table, trust, at, sure, guess in ((order2, trust2, at2, sure2, guess2), (order1, trust1, at1, sure1, guess1)):
-            good = guess == symbol
-            replace = ~good & (sure == 0)
-            trust[rows, at] = np.where(good, np.minimum(sure + 1, 3), np.maximum(sure, 1) - 1)
-            table[rows, at] = np.where(replace, symbol, guess)
+        order2.learn(at2, found2, symbol)
+        order1.learn(at1, found1, symbol)
         before2[:n] = a
         before[:n] = symbol
     return raw
@@ -171,13 +253,14 @@ def encode_group(blocks: list[np.ndarray]) -> list[bytes]:
     ids = np.zeros((steps, len(order)), dtype=np.uint16)
     for lane, i in enumerate(order):
         ids[: lengths[lane], lane] = blocks[i]
-    coder = _Coder(len(order), 3 * steps + 64)
+    coder = _Coder(len(order), GROWTH_WORDS + steps // 2)
     lows = np.zeros((len(order), steps), dtype=np.uint8)
     raw = _run(lengths, coder, ids, lows)
+    coder.make_room()
     coder.finish()
     coded = [b""] * len(blocks)
     for lane, i in enumerate(order):
-        payload = coder.data[lane, : coder.at[lane]].tobytes()
+        payload = coder.data[lane, : coder.at[lane]].astype("<u2").tobytes()
         plain = lows[lane, : raw[lane]].tobytes()
         crc = zlib.crc32(blocks[i].astype("<u2").tobytes())
         coded[i] = HEADER.pack(MAGIC, lengths[lane], len(payload), len(plain), crc) + payload + plain
@@ -189,10 +272,10 @@ def decode_group(parts: list[tuple[int, bytes, bytes, int]]) -> list[np.ndarray]
     order = sorted(range(len(parts)), key=lambda i: -parts[i][0])
     lengths = np.array([parts[i][0] for i in order], dtype=np.int64)
     steps = int(lengths.max(initial=0))
-    data = np.zeros((len(order), max((len(p[1]) for p in parts), default=0) + 8), dtype=np.uint8)
+    data = np.zeros((len(order), max((len(p[1]) for p in parts), default=0) // 2 + 8), dtype=np.uint16)
     lows = np.zeros((len(order), max((len(p[2]) for p in parts), default=0) + 1), dtype=np.uint8)
     for lane, i in enumerate(order):
-        data[lane, : len(parts[i][1])] = np.frombuffer(parts[i][1], dtype=np.uint8)
+        data[lane, : len(parts[i][1]) // 2] = np.frombuffer(parts[i][1], dtype="<u2")
         lows[lane, : len(parts[i][2])] = np.frombuffer(parts[i][2], dtype=np.uint8)
     ids = np.zeros((steps, len(order)), dtype=np.uint16)
     _run(lengths, _Coder(len(order), 0, data), ids, lows)

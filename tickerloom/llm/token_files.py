@@ -29,7 +29,8 @@ from tickerloom.llm.shards import MANIFEST, Roll, commit, file_system, manifest_
 
 GROUP = struct.Struct("<4sIIIII")
 GROUP_MAGIC = b"TLG1"
-GROUP_IDS = LANES * BLOCK_IDS // 2
+GROUP_IDS = LANES * BLOCK_IDS
+LEAST_BLOCK_IDS = 512
 NO_BLANK_TO_RUST = re.compile("[\x1c-\x1f]")
 PLAIN_PARTS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
 
@@ -71,8 +72,10 @@ def encoder_at(path: str) -> ChunkEncoder:
 
 
 def group_bytes(doc_ids: list[int | None], parts: list[bytes]) -> bytes:
+    """A coded group. A group that ends early has shorter blocks, so that many still run in step."""
     ids = np.frombuffer(b"".join(parts), dtype="<u2")
-    blocks = [ids[at : at + BLOCK_IDS] for at in range(0, len(ids), BLOCK_IDS)]
+    length = min(max(-(-len(ids) // LANES), LEAST_BLOCK_IDS), BLOCK_IDS)
+    blocks = [ids[at : at + length] for at in range(0, len(ids), length)]
     numbers = np.array([d or 0 for d in doc_ids], dtype="<i8")
     nulls = np.array([d is None for d in doc_ids], dtype=np.uint8)
     lengths = np.array([len(p) // 2 for p in parts], dtype="<u4")
