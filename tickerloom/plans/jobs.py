@@ -13,11 +13,19 @@ from tickerloom.session import materialize
 from tickerloom.sources import sinks
 
 
-def merged_panel(news: DataFrame, bars: DataFrame, order: Iterable[str]) -> DataFrame:
+BAR_ORDER = ("open", "high", "low", "close", "volume")
+
+
+def merged_panel(
+    news: DataFrame, bars: DataFrame, order: Iterable[str], bar_order: Iterable[str] = BAR_ORDER
+) -> DataFrame:
     """Cleaned news joined onto bars with returns, then validity and outlier filters.
 
-    Keyword sentiment comes from the articles' counts, so the daily texts need not exist.
+    Of several bars of a ticker and day the first by `bar_order` counts; every window over a
+    ticker rests on that. Keyword sentiment comes from the articles' counts, so the daily
+    texts need not exist.
     """
+    bars = cleaning.keep_first(bars, ["ticker", "date"], bar_order)
     cleaned = cleaning.clean_news(news, order)
     articles = daily_news.with_trading_date(daily_news.prepare_articles(cleaned))
     stats = daily_news.daily_news(articles)
