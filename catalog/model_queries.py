@@ -23,16 +23,16 @@ TERMS_SQL = f"""SELECT doc_id, unnest(list_concat(k, list_transform(range(1, gre
   FROM (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}'), lambda w: w NOT IN ({quoted(fixed.ENGLISH_STOP_WORDS)})) AS k FROM documents)"""
 VOCABULARY_SQL = f"""SELECT term, sum(n)::BIGINT AS occurrences, count(*) AS documents
   FROM (SELECT doc_id, term, count(*) AS n FROM ({TERMS_SQL}) GROUP BY doc_id, term) GROUP BY term HAVING count(*) >= 2
-  ORDER BY occurrences DESC, term LIMIT 200"""
+  ORDER BY occurrences DESC, term LIMIT 1000"""
 
 
-def fitted_tfidf(t, size: int = 200):
-    return text_vectors.fit_tfidf(t.documents, "text", "doc_id", size, 2, fixed.ENGLISH_STOP_WORDS)
+def fitted_tfidf(t):
+    return text_vectors.fit_tfidf(t.documents, "text", "doc_id", stop_words=fixed.ENGLISH_STOP_WORDS)
 
 
 query("tfidf_vocabulary", "", VOCABULARY_SQL)(
     lambda t: text_vectors.vocabulary(
-        text_vectors.terms(t.documents, "text", fixed.ENGLISH_STOP_WORDS), "doc_id", 200, 2
+        text_vectors.terms(t.documents, "text", fixed.ENGLISH_STOP_WORDS), "doc_id"
     )
 )
 
@@ -44,7 +44,7 @@ query(
         SELECT doc_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS weight FROM w""",
 )(lambda t: text_vectors.tfidf_weights(t.documents, fitted_tfidf(t), "text", "doc_id"))
 
-COMPONENTS = 5
+COMPONENTS = 50
 
 
 @query("tfidf_components", " ".join(f"tfidf_pca_{i}" for i in range(COMPONENTS)))

@@ -16,7 +16,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
@@ -80,10 +80,16 @@ def fit_tfidf(
 
 
 def tfidf_weights(df: DataFrame, model: TfIdf, column: str, key: str) -> DataFrame:
-    """Non-zero weights as rows (key, term, weight)."""
-    vectors = model.transform(df, column).select(key, F.posexplode(vector_to_array("tfidf")).alias("i", "weight"))
-    names = F.array(*[F.lit(term) for term in model.terms])
-    return vectors.where(F.col("weight") > 0).select(key, F.element_at(names, F.col("i") + 1).alias("term"), "weight")
+    """Non-zero weights as rows (key, term, weight).
+
+    Terms are counted per key and meet the vocabulary (at most `max_features` rows) in a
+    join, so a document costs its own terms and not the whole vocabulary.
+    """
+    chosen = df.sparkSession.createDataFrame(list(zip(model.terms, model.weights)), "term string, idf double")
+    found = terms(df, column, model.stop_words).select(key, F.explode("terms").alias("term"))
+    counted = found.join(chosen, "term").groupBy(key, "term").agg((F.count("*") * F.first("idf")).alias("x"))
+    length = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy(key)))
+    return counted.select(key, "term", (F.col("x") / length).alias("weight"))
 
 
 def with_components(vectors: DataFrame, model: TfIdf, components: int = 50, column: str = "tfidf") -> DataFrame:
