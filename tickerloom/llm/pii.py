@@ -1,8 +1,8 @@
 """Personal data: base patterns, and a linear-chain CRF over word-shape features that adds spans.
 
 The CRF is trained on the small labelled table below and decodes the lines of a text by Viterbi in
-numpy batches. Its model rules out tags in a line without digit and without `@`, so only
-lines with one are decoded. A decoded span is added where it overlaps no base span.
+numpy batches. Every line is decoded: a word's scores for itself and its neighbours are computed
+once per distinct word. A decoded span is added where it overlaps no base span.
 
 Defined cases: null text is empty text; texts without findings give zero counts and an
 empty span list; offsets count code points; rows with a null doc_id or repeated rows are kept as they are.
@@ -24,12 +24,17 @@ from tickerloom.llm.crf import Crf, padded
 
 KINDS = ("email", "ip", "card", "phone")
 BATCH_ROWS = 256
+BLOCK_WORDS = 100_000
 MAX_LINE_TOKENS = 64
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+# A local part, "at", and labels joined by dots or the word for it; both words bare or in brackets.
+WRITTEN_OUT = re.compile(
+    r"(?i)(?<![\w.%+-])[\w.%+-]++(?:\s+at\s+|\s*[(\[{<]\s*at\s*[)\]}>]\s*)[\w-]+(?:(?:\.|\s+dot\s+|\s*[(\[{<]\s*dot\s*[)\]}>]\s*)[\w-]+)+"
+)
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
@@ -131,9 +136,11 @@ a 100 b 2000 c 30000
 sum 12345678 total 987654321
 page=2&ref=x item 900001
 """
-GATE = re.compile(r"[0-9@]")
 TOKEN = re.compile(r"\S+")
+LOWER = "abcdefghijklmnopqrstuvwxyz"
 MARKED = re.compile(r"(\w+)\{([^}]*)\}|(\S+)")
+# One character for all of its class, as in `shape`.
+LIKE = {ord(c): like for chars, like in ((LOWER, "a"), (LOWER.upper(), "A"), ("0123456789", "9")) for c in chars}
 CUES = re.compile(r"(?i)^\W*(call|phone|tel|telephone|mobile|fax|ring|mail|email|e-mail|contact|card|visa|host|server|address|reach)\W*$")
 
 
@@ -197,7 +204,7 @@ def plausible(kind: int, text: str) -> bool:
     """The digits and marks a span of the kind cannot do without."""
     digits = sum(c.isdigit() for c in text)
     if kind == 0:
-        return "@" in text or bool(re.search(r"(?i)\bat\b", text))
+        return "@" in text or bool(WRITTEN_OUT.fullmatch(text))
     if kind == 1:
         return text.count(":") >= 2 and bool(re.fullmatch(r"[0-9a-fA-F:.]+", text))
     if kind == 2:
@@ -206,41 +213,89 @@ def plausible(kind: int, text: str) -> bool:
     return 9 <= digits <= 15 and bool(re.search(r"[0-9)][ .-]+[0-9(]", text))
 
 
+@lru_cache(maxsize=100_000)
+def feature_scores(word: str | None) -> np.ndarray:
+    """Tag scores a word's features give itself, the word after it and the word before it; None is a line's edge."""
+    numbers, model = trained()
+    own = word_features(word) if word is not None else ()
+    before, after = (own[:3] + own[4:5], own[:3]) if own else (("edge",), ("edge",))
+    parts = (("bias", *own), [f"-1 {f}" for f in before], [f"+1 {f}" for f in after])
+    return np.concatenate([model.unary[[numbers.get(f, 0) for f in part]].sum(axis=0) for part in parts])
+
+
+def word_scores(word: str) -> np.ndarray:
+    """`feature_scores`; but for cues and hex words, which letters and digits a word has does not matter."""
+    return feature_scores(word if ":" in word or CUES.match(word) else word.translate(LIKE))
+
+
+def line_tags(words: list[str], lengths: list[int]) -> np.ndarray:
+    """The tag of every word; `lengths` are the numbers of words of the lines."""
+    model = trained()[1]
+    n, n_tags = len(words), len(model.first)
+    ids: dict[str, int] = {}
+    codes = np.fromiter((ids.setdefault(w, len(ids)) for w in words), dtype=np.int64, count=n)
+    own, after, before = np.split(np.stack([word_scores(w) for w in ids]), 3, axis=1)
+    edge = feature_scores(None)
+    ends = np.cumsum(lengths)
+    first, last = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
+    first[ends - lengths], last[ends - 1] = True, True
+    emission = own[codes]
+    emission += np.where(first[:, None], edge[n_tags : 2 * n_tags], after[np.roll(codes, 1)])
+    emission += np.where(last[:, None], edge[2 * n_tags :], before[np.roll(codes, -1)])
+    tags = np.zeros(n, dtype=np.int16)
+    # A long line is several chains.
+    pieces = [(a, min(a + MAX_LINE_TOKENS, z)) for z, k in zip(ends.tolist(), lengths) for a in range(z - k, z, MAX_LINE_TOKENS)]
+    begin, end = np.array(pieces).T
+    for at in range(0, len(begin), 512):
+        index = begin[at : at + 512, None] + np.arange((end - begin)[at : at + 512].max())
+        mask = index < end[at : at + 512, None]
+        best = model.decode(emission[np.minimum(index, n - 1)], mask)
+        tags[index[mask]] = best[mask]
+    return tags
+
+
 def crf_spans(texts: list[str]) -> list[list[Span]]:
     """Spans the CRF decodes in each text."""
-    numbers, model = trained()
-    rows: list[tuple[int, list[tuple[int, int]]]] = []
-    coded = []
     found: list[list[Span]] = [[] for _ in texts]
+    lines: list[tuple[int, int, str]] = []
+    words: list[str] = []
+    lengths: list[int] = []
     for number, text in enumerate(texts):
-        if not GATE.search(text):
-            continue
         start = 0
         for line in text.split("\n"):
-            if GATE.search(line):
-                places = [(start + m.start(), start + m.end()) for m in TOKEN.finditer(line)]
-                features = line_features([text[a:b] for a, b in places])
-                # A long line is several chains; tokens without digit, @ or cue around a cut stay untagged anyway.
-                for at in range(0, len(places), MAX_LINE_TOKENS):
-                    rows.append((number, places[at : at + MAX_LINE_TOKENS]))
-                    coded.append([[numbers.get(f, 0) for f in fs] for fs in features[at : at + MAX_LINE_TOKENS]])
+            inside = line.split()
+            if inside:
+                lines.append((number, start, line))
+                lengths.append(len(inside))
+                words += inside
             start += len(line) + 1
-    for at in range(0, len(coded), 512):
-        features, mask = padded(coded[at : at + 512], 16)
-        tags = model.decode(model.emissions(features), mask)
-        for (number, places), best in zip(rows[at : at + 512], tags):
-            i = 0
-            while i < len(places):
-                tag, j = best[i], i
-                while j < len(places) and best[j] == tag:
-                    j += 1
-                if tag:
-                    a, b = places[i][0], places[j - 1][1]
-                    inner = texts[number][a:b]
-                    a, b = a + len(inner) - len(inner.lstrip(".,;:!?\"'")), b - (len(inner) - len(inner.rstrip(".,;:!?\"'")))
-                    if a < b and plausible(tag - 1, texts[number][a:b]):
-                        found[number].append(Span(a, tag - 1, b))
-                i = j
+        if words and (len(words) >= BLOCK_WORDS or number + 1 == len(texts)):
+            tags, ends = line_tags(words, lengths), np.cumsum(lengths)
+            for i in np.unique(np.searchsorted(ends, np.flatnonzero(tags), side="right")).tolist():
+                number_, at, line = lines[i]
+                places = [(at + m.start(), at + m.end()) for m in TOKEN.finditer(line)]
+                found[number_] += tagged_spans(texts[number_], places, tags[ends[i] - lengths[i] : ends[i]])
+            lines, words, lengths = [], [], []
+    return found
+
+
+def tagged_spans(text: str, places: list[tuple[int, int]], best: np.ndarray) -> list[Span]:
+    """Plausible spans of the runs of equal tags; of a run tagged email without `@`, the addresses written out in it."""
+    found, i = [], 0
+    while i < len(places):
+        tag, j = int(best[i]), i
+        while j < len(places) and best[j] == tag:
+            j += 1
+        if tag:
+            a, b = places[i][0], places[j - 1][1]
+            inner = text[a:b]
+            if tag == 1 and "@" not in inner:
+                found += [Span(a + m.start(), 0, a + m.end()) for m in WRITTEN_OUT.finditer(inner)]
+            else:
+                a, b = a + len(inner) - len(inner.lstrip(".,;:!?\"'")), b - (len(inner) - len(inner.rstrip(".,;:!?\"'")))
+                if a < b and plausible(tag - 1, text[a:b]):
+                    found.append(Span(a, tag - 1, b))
+        i = j
     return found
 
 
