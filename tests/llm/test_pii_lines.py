@@ -36,3 +36,17 @@ def test_short_lines_equal_plain_decoding():
     words = " ".join(plain).split()
     texts = [*plain, "", "\n\n", "\n".join(" ".join(draw.choices(words, k=draw.randint(1, 60))) for _ in range(200))]
     assert crf_spans(texts) == [plain_spans(t) for t in texts]
+
+
+@pytest.mark.parametrize("before", range(55, 66))
+def test_spans_anywhere_in_a_long_line(before):
+    text = " ".join(["word"] * before) + " call phone (030) 1234 5678 in the office " + " ".join(["word"] * 90)
+    assert ["(030) 1234 5678"] == [text[s.start : s.end] for s in crf_spans([text])[0]]
+    assert crf_spans([text])[0] == plain_spans(text)
+
+
+def test_long_lines_equal_plain_decoding():
+    draw = random.Random(6)
+    words = [w for line in LABELLED.strip().splitlines() for _, inside, w in MARKED.findall(line) for w in (w or inside).split()]
+    texts = ["\n".join(" ".join(draw.choices(words, k=draw.randint(65, 900))) for _ in range(6)) for _ in range(8)]
+    assert crf_spans(texts) == [plain_spans(t) for t in texts]

@@ -53,19 +53,22 @@ class Crf:
         ahead, back, total = self.forward_backward(emission, mask)
         return np.exp(ahead + back - total[:, None, None]) * mask[:, :, None]
 
-    def decode(self, emission: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        """The best tag of every step (Viterbi); steps without a token get tag 0."""
+    def decode(self, emission: np.ndarray, mask: np.ndarray, start=None, end=0.0) -> np.ndarray:
+        """The best tag of every step (Viterbi); steps without a token get tag 0.
+
+        `start` and `end` are scores of each row's first and last tag, for parts of longer chains.
+        """
         rows, steps, tags = emission.shape
         best = np.zeros((rows, steps), dtype=np.int16)
         if not steps or not rows:
             return best
         came = np.zeros((rows, steps, tags), dtype=np.int16)
-        score = self.first + emission[:, 0]
+        score = (self.first if start is None else start) + emission[:, 0]
         for t in range(1, steps):
             reached = score[:, :, None] + self.pair
             came[:, t] = np.where(mask[:, t, None], reached.argmax(axis=1), np.arange(tags))
             score = np.where(mask[:, t, None], reached.max(axis=1) + emission[:, t], score)
-        best[:, -1] = score.argmax(axis=1)
+        best[:, -1] = (score + end).argmax(axis=1)
         for t in range(steps - 1, 0, -1):
             best[:, t - 1] = np.take_along_axis(came[:, t], best[:, t, None].astype(np.int64), 1)[:, 0]
         return np.where(mask, best, 0)

@@ -2,7 +2,8 @@
 
 The CRF is trained on the small labelled table below and decodes the lines of a text by Viterbi in
 numpy batches. Every line is decoded: a word's scores for itself and its neighbours are computed
-once per distinct word. A decoded span is added where it overlaps no base span.
+once per shape of a word. A line is one chain, whatever its length; it is decoded in parts between
+words whose tag no neighbour can change, which gives the whole chain's best path. A decoded span is added where it overlaps no base span.
 
 Defined cases: null text is empty text; texts without findings give zero counts and an
 empty span list; offsets count code points; rows with a null doc_id or repeated rows are kept as they are.
@@ -25,7 +26,6 @@ from tickerloom.llm.crf import Crf, padded
 KINDS = ("email", "ip", "card", "phone")
 BATCH_ROWS = 256
 BLOCK_WORDS = 100_000
-MAX_LINE_TOKENS = 64
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -243,14 +243,26 @@ def line_tags(words: list[str], lengths: list[int]) -> np.ndarray:
     emission += np.where(first[:, None], edge[n_tags : 2 * n_tags], after[np.roll(codes, 1)])
     emission += np.where(last[:, None], edge[2 * n_tags :], before[np.roll(codes, -1)])
     tags = np.zeros(n, dtype=np.int16)
-    # A long line is several chains.
-    pieces = [(a, min(a + MAX_LINE_TOKENS, z)) for z, k in zip(ends.tolist(), lengths) for a in range(z - k, z, MAX_LINE_TOKENS)]
-    begin, end = np.array(pieces).T
-    for at in range(0, len(begin), 512):
-        index = begin[at : at + 512, None] + np.arange((end - begin)[at : at + 512].max())
-        mask = index < end[at : at + 512, None]
-        best = model.decode(emission[np.minimum(index, n - 1)], mask)
+    # A word whose lead of tag 0 no neighbours' tags can turn is 0 on the best path, and the chain falls apart there.
+    left = np.maximum((model.pair - model.pair[:, :1]).max(axis=0), model.first - model.first[0])
+    right = np.maximum((model.pair - model.pair[:1]).max(axis=1), 0.0)
+    unsure = (emission - emission[:, :1] + left + right)[:, 1:].max(axis=1) >= -1e-6
+    begin = np.flatnonzero(unsure & (first | ~np.roll(unsure, 1)))
+    end = np.flatnonzero(unsure & (last | ~np.roll(unsure, -1))) + 1
+    order = np.argsort(end - begin, kind="stable")
+    begin, end = begin[order], end[order]
+    at = 0
+    while at < len(begin):
+        # Chains of like length share a batch of bounded size; the longest is the batch's last.
+        upto = at + max(1, int(np.searchsorted((end - begin)[at : at + 4096] * np.arange(1, len(begin[at : at + 4096]) + 1), BLOCK_WORDS)))
+        a, z = begin[at:upto], end[at:upto]
+        index = a[:, None] + np.arange((z - a).max())
+        mask = index < z[:, None]
+        start_scores = np.where(first[a, None], model.first, model.pair[0])
+        end_scores = np.where(last[z - 1, None], 0.0, model.pair[:, 0])
+        best = model.decode(emission[np.minimum(index, n - 1)], mask, start_scores, end_scores)
         tags[index[mask]] = best[mask]
+        at = upto
     return tags
 
 
