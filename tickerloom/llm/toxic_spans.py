@@ -1,11 +1,13 @@
 """Toxicity: a linear-chain CRF tags toxic words; marginals give document scores and offsets.
 
 Token labels come from the labelled documents: a word is labelled toxic in a toxic
-document if it is far more frequent in toxic training documents than in others and its
-support is at least a share of the best supported such word's. Word counts cover all
-training documents. The CRF is trained on windows of a bounded sample of whole labelled
-documents (SAMPLE_DOCUMENTS per class, in hash order). Its features are a bias and the
-identity of candidate words (those with high odds and some support). All other words share
+document if it is far more frequent in toxic training texts than in others and its own
+counts would be rare by chance: the Chernoff bound of its toxic count, times the number of
+words tested, is at most LABEL_CHANCE. Word counts cover all distinct training texts, copies count
+once, and so do places of a word among the same four neighbours (edited copies). The CRF is trained on windows of a bounded sample of whole distinct labelled
+texts (SAMPLE_DOCUMENTS per class, in hash order). Its features are a bias, the
+identity of candidate words (high odds, chance at most CANDIDATE_CHANCE) and one that all
+words labelled toxic share, so that rare ones outside the sample have its weight. All other words share
 one emission, so forward-backward runs over every word of a text, but takes a run of such words as one power of
 their transition matrix. The document score is a logistic, fitted on the sample, of the
 largest marginal's log odds.
@@ -16,11 +18,13 @@ at the floor; without toxic labels every score is the floor's; repeated rows are
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tickerloom.llm.common import is_held_out, labels_by_document, ship, stored
@@ -33,8 +37,8 @@ WINDOW_WORDS = 16
 WINDOWS_PER_DOCUMENT = 2
 MIN_DOCUMENTS = 3
 MIN_ODDS = 3.0
-MIN_SUPPORT = 0.25
-MIN_CANDIDATE_SUPPORT = 0.05
+LABEL_CHANCE = 0.01
+CANDIDATE_CHANCE = 1.0
 ROUNDS, PENALTY = 80, 0.02
 FLOOR = 1e-7
 
@@ -47,43 +51,80 @@ def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words, pa.list_(pa.string()))], names=["label", "words"])
 
 
-def candidate_words(labelled: DataFrame) -> dict[str, bool]:
-    """Words with high smoothed log odds and some support -> whether they are labelled toxic."""
-    sizes = {row["label"]: row["count"] for row in labelled.groupBy("label").count().collect()}
+def _places_of(wanted: set[str]):
+    """The first place of each wanted word in each text: a hash of the two words before and after it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = WORD.findall((text or "").lower())
+                seen = set()
+                for i, word in enumerate(words):
+                    if word in wanted and word not in seen:
+                        seen.add(word)
+                        around = " ".join([*words[max(0, i - 2) : i], "", *words[i + 1 : i + 3]])
+                        rows.append((label, word, xxhash.xxh64_intdigest(around.encode()) >> 1))
+            columns = list(zip(*rows)) or [[], [], []]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())],
+                names=["label", "word", "place"],
+            )
+
+    return run
+
+
+def candidate_words(texts: DataFrame) -> dict[str, bool]:
+    """Words of distinct labelled texts with significantly high log odds -> whether they are labelled toxic."""
+    sizes = {row["label"]: row["count"] for row in texts.groupBy("label").count().collect()}
     if not sizes.get(1) or not sizes.get(0):
         return {}
-    words = labelled.select("label", "text").mapInArrow(_document_words, "label int, words array<string>")
-    counts = (
+    words = texts.select("label", "text").mapInArrow(_document_words, "label int, words array<string>")
+    counts = stored(
         words.select("label", F.explode("words").alias("word"))
         .groupBy("word")
         .agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
-        .where(F.col("toxic") >= MIN_DOCUMENTS)
+        .where(F.col("toxic") >= MIN_DOCUMENTS),
+        "toxicwords",
     )
-    odds = F.log((F.col("toxic") + 0.5) / (sizes[1] + 1.0)) - F.log((F.col("n") - F.col("toxic") + 0.5) / (sizes[0] + 1.0))
-    marked = stored(counts.where(odds >= MIN_ODDS), "toxicwords")
-    top = marked.agg(F.max("toxic")).first()[0] or 0
-    # Few words can have a fixed share of the top word's support: their document counts
-    # sum to at most the toxic documents' distinct words.
-    rows = marked.where(F.col("toxic") >= MIN_CANDIDATE_SUPPORT * top).collect()
-    return {row["word"]: row["toxic"] >= MIN_SUPPORT * top for row in sorted(rows)}
+    tested = counts.count()
+    if not tested:
+        return {}
+    base = sizes[1] / (sizes[0] + sizes[1])
+
+    def significant(counts: DataFrame) -> DataFrame:
+        odds = F.log((F.col("toxic") + 0.5) / (sizes[1] + 1.0)) - F.log((F.col("n") - F.col("toxic") + 0.5) / (sizes[0] + 1.0))
+        share = F.col("toxic") / F.col("n")
+        clean = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0)
+        surprise = F.when(share > base, F.col("n") * (share * F.log(share / base) + clean)).otherwise(0.0)
+        marked = counts.where(odds >= MIN_ODDS).select("word", (surprise - math.log(tested)).alias("lead"))
+        return marked.where(F.col("lead") >= -math.log(CANDIDATE_CHANCE))
+
+    # Edited copies of one text repeat a word among the same neighbours: such places count once.
+    first = {row["word"] for row in significant(counts).collect()}
+    places = texts.select("label", "text").mapInArrow(_places_of(first), "label int, word string, place long").distinct()
+    rows = significant(places.groupBy("word").agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
+                       .where(F.col("toxic") >= MIN_DOCUMENTS)).collect()
+    return {row["word"]: row["lead"] >= -math.log(LABEL_CHANCE) for row in sorted(rows)}
 
 
 class ToxicTagger:
     def __init__(self, labelled: DataFrame):
-        self.candidates = candidate_words(labelled)
-        self.numbers = {word: 2 + i for i, word in enumerate(self.candidates)}
+        texts = stored(labelled.select("label", "text").distinct(), "toxictexts")
+        self.candidates = candidate_words(texts)
+        self.numbers = {word: 3 + i for i, word in enumerate(self.candidates)}
         self.slope, self.shift = 1.0, 0.0
         self.weights, self.background = {}, 1e-9
         self.move, self.start = np.array([[1.0, 1e-9], [1.0, 1e-9]]), np.array([1.0, 1e-9])
         if any(self.candidates.values()):
-            self.train(self.sample(labelled))
+            self.train(self.sample(texts))
 
     @staticmethod
-    def sample(labelled: DataFrame) -> list[tuple[int, list[str]]]:
-        """Label and words of whole documents, at most SAMPLE_DOCUMENTS per class."""
+    def sample(texts: DataFrame) -> list[tuple[int, list[str]]]:
+        """Label and words of whole texts, at most SAMPLE_DOCUMENTS per class."""
         found = []
         for label in (0, 1):
-            rows = labelled.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").select("text")
+            rows = texts.where(F.col("label") == label).orderBy(F.xxhash64("text"), "text").select("text")
             found += [(label, WORD.findall((row["text"] or "").lower())) for row in rows.limit(SAMPLE_DOCUMENTS).collect()]
         return found
 
@@ -94,15 +135,15 @@ class ToxicTagger:
             for hit in hits or [len(words) // 2]:
                 part = words[max(0, hit - WINDOW_WORDS // 2) : hit + WINDOW_WORDS // 2]
                 if part:
-                    features.append([[1, self.numbers.get(w, 0)] for w in part])
+                    features.append([[1, 2 * bool(self.candidates.get(w)), self.numbers.get(w, 0)] for w in part])
                     tags.append([int(bool(label and self.candidates.get(w))) for w in part])
-        coded, mask = padded(features, 2)
+        coded, mask = padded(features, 3)
         gold = np.zeros(mask.shape, dtype=np.int64)
         for row, marks in enumerate(tags):
             gold[row, : len(marks)] = marks
-        crf = Crf(2 + len(self.numbers), 2).fit(coded, mask, gold, ROUNDS, PENALTY)
+        crf = Crf(3 + len(self.numbers), 2).fit(coded, mask, gold, ROUNDS, PENALTY)
         odds = np.exp(np.clip(crf.unary[:, 1] - crf.unary[:, 0], -30, 30))
-        self.weights = {word: float(odds[1] * odds[i]) for word, i in self.numbers.items()}
+        self.weights = {w: float(odds[1] * odds[2] ** self.candidates[w] * odds[i]) for w, i in self.numbers.items()}
         self.background = float(odds[1])
         self.move, self.start = np.exp(crf.pair - crf.pair.max()), np.exp(crf.first - crf.first.max())
         self.calibrate(documents)
