@@ -4,8 +4,9 @@ Numbers, names (capitalised words inside a sentence) and units behind numbers be
 placeholders, so a question that was only given other values keeps its template. Windows
 of five template words of every document are hash-joined with those of the benchmark; for
 each (document, item) the replaced values must map consistently. A document is
-contaminated by an item if the matched windows cover at least 0.8 of the item's windows and at least
-that share of its slot values agree on one counterpart.
+contaminated by an item if the windows matched in one placement (or all matches together) cover
+at least 0.8 of the item's windows and at least that share of their slot values agree on one
+counterpart, or if verbatim windows alone cover that much.
 
 Built-in column functions only. A bit table of the benchmark's window hashes (sized by the
 benchmark) keeps windows that cannot match from being exploded, so what is shuffled
@@ -166,10 +167,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER, m
             "doc_id", "item_id", "0L AS n_windows", "0L AS n_matched", "0D AS cover", "0L AS n_slots", "0D AS agree", "true AS exact"
         )
     n_windows = item_windows.groupBy("item_key").agg(F.countDistinct("at").alias("n_windows"))
+    # Each placement of the item in the document is judged on its own (equal `shift`), and all matches
+    # together (null), where a window prefers its verbatim match: values of a stem that stands before
+    # the whole passage are not mixed with the passage's.
     pair = ["doc_id", "item_id", "item_key"]
-    covered = matched.groupBy(*pair, "item_at").agg(
-        F.min_by(F.struct("doc_words", "item_words", "template"), "doc_at").alias("m"),
-        F.max((F.col("doc_words") == F.col("item_words")).cast("int")).alias("same"),
+    same = F.col("doc_words") == F.col("item_words")
+    placed = matched.withColumn("shift", F.explode(F.array(F.lit(None).cast("int"), F.col("doc_at") - F.col("item_at"))))
+    covered = placed.groupBy(*pair, "shift", "item_at").agg(
+        F.min_by(F.struct("doc_words", "item_words", "template"), F.struct(~same, "doc_at")).alias("m"),
+        F.max(same.cast("int")).alias("same"),
     )
     slots = F.filter(
         F.transform(
@@ -181,24 +187,31 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER, m
         ),
         lambda slot: slot.isNotNull(),
     )
-    summed = covered.groupBy(*pair).agg(
+    summed = covered.groupBy(*pair, "shift").agg(
         F.count("*").alias("n_matched"),
-        F.min("same").alias("same"),
+        F.sum("same").alias("n_same"),
         F.array_distinct(F.flatten(F.collect_list(slots))).alias("slots"),
+        F.array_distinct(F.flatten(F.collect_list(F.when(F.col("same") == 1, slots)))).alias("same_slots"),
     )
     # Slot values of one item are as many as the item has words; consistent ones have one counterpart.
+    # Verbatim windows that cover enough by themselves are accepted with their own slots, which agree.
+    judged = summed.join(n_windows, "item_key").withColumn("verbatim", F.col("n_same") / F.col("n_windows") >= min_cover)
+    judged = judged.withColumns(
+        {
+            "n_matched": F.when(F.col("verbatim"), F.col("n_same")).otherwise(F.col("n_matched")),
+            "slots": F.when(F.col("verbatim"), F.col("same_slots")).otherwise(F.col("slots")),
+        }
+    )
     froms = F.transform("slots", lambda s: s["from"])
     agreeing = F.filter("slots", lambda s: F.size(F.filter(F.col("slots"), lambda o: o["from"] == s["from"])) == 1)
     agree = F.when(F.size("slots") == 0, 1.0).otherwise(F.size(agreeing) / F.size(F.array_distinct(froms)))
-    return (
-        summed.join(n_windows, "item_key")
-        .select(
-            "doc_id", "item_id", "n_windows", "n_matched",
-            (F.col("n_matched") / F.col("n_windows")).alias("cover"),
-            F.size(F.array_distinct(froms)).cast("long").alias("n_slots"),
-            agree.alias("agree"),
-            ((F.col("same") == 1) & (F.col("n_matched") == F.col("n_windows"))).alias("exact"),
-        )
-        .where((F.col("cover") >= min_cover) & (F.col("agree") >= min_agree))
-        .distinct()
-    )
+    result = ["n_windows", "n_matched", "cover", "n_slots", "agree", "exact"]
+    passing = judged.select(
+        *pair, "n_windows", "n_matched",
+        (F.col("n_matched") / F.col("n_windows")).alias("cover"),
+        F.size(F.array_distinct(froms)).cast("long").alias("n_slots"),
+        agree.alias("agree"),
+        (F.col("verbatim") & (F.col("n_same") == F.col("n_windows"))).alias("exact"),
+    ).where((F.col("cover") >= min_cover) & (F.col("agree") >= min_agree))
+    best = F.max_by(F.struct(*result), F.struct("exact", "cover", "agree", "n_slots")).alias("r")
+    return passing.groupBy(*pair).agg(best).select("doc_id", "item_id", *[F.col("r")[name].alias(name) for name in result]).distinct()
