@@ -26,3 +26,25 @@ def test_a_passage_with_other_values_behind_a_stem(spark):
 
 def test_a_stem_alone_is_no_leak(spark):
     assert found(spark, f"{STEM} or {STEM} at last") == []
+
+
+NAMED = "then Tom has 5 apples and goes home. Tom gives 3 of them to Mary Ann in Paris and eats the rest there. How many are left"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        NAMED.replace(" ", "\n"),
+        NAMED.replace(" ", "  "),
+        NAMED.replace(" Tom", "\r\n\tTom").replace(" Paris", "\n\u00a0Paris"),
+        NAMED.lower(),
+        NAMED.upper(),
+    ],
+)
+def test_verbatim_passages_in_another_layout_or_case(spark, text):
+    assert found(spark, f"so {text} now", NAMED) == [(True, 1.0, True)]
+
+
+def test_names_at_the_start_of_sentences_and_of_other_lengths(spark):
+    other = NAMED.replace("Tom", "Anna").replace("Paris", "New York").replace("5", "9").replace("Mary Ann", "Bob")
+    assert found(spark, f"so {other} now", NAMED) == [(True, 1.0, False)]

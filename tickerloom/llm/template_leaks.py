@@ -1,7 +1,9 @@
 """Benchmark decontamination by template canonicalisation.
 
-Numbers, names (capitalised words inside a sentence) and units behind numbers become typed
-placeholders, so a question that was only given other values keeps its template. Windows
+Numbers, names (runs of capitalised words, also at a sentence's start) and units behind numbers
+become typed placeholders, so a question that was only given other values keeps its template. Any
+white space is one blank. The windows of the plain lower-cased words are compared as well and judged
+on their own, so a verbatim passage matches in any layout or case. Windows
 of five template words of every document are hash-joined with those of the benchmark; for
 each (document, item) the replaced values must map consistently. A document is
 contaminated by an item if the windows matched in one placement (or all matches together) cover
@@ -42,18 +44,25 @@ UNITS = (
     "km|cm|mm|kg|mg|ml|mph|kph|usd|eur|lb|oz|ft"
 )
 NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
-GAP = r"[^\p{L}\p{N}\x01-\x03]+"
+# Joins the words of one name; a typed text's GAP keeps it.
+JOIN = "\u0004"
+GAP = r"[^\p{L}\p{N}\x01-\x04]+"
 
 
 def without_marks(text: Column) -> Column:
-    """Digit groups joined (1,000 is one word) and the placeholder characters removed."""
-    marks = F.when(text.rlike(r"[\x01-\x03]"), F.regexp_replace(text, r"[\x01-\x03]+", " ")).otherwise(text)
+    """One blank for any white space, digit groups joined (1,000 is one word) and the placeholder characters removed."""
+    marks = F.when(text.rlike(r"[\x01-\x04]|[\s\p{Z}]{2}|[\s\p{Z}&&[^ ]]"), F.regexp_replace(text, r"[\x01-\x04\s\p{Z}]+", " ")).otherwise(text)
     return let(
         marks, lambda t: F.when(t.rlike(r"\d[.,]\d"), F.regexp_replace(t, r"(?<=\d)[.,](?=\d)", "")).otherwise(t)
     )
 
 
-def canonical(text: Column) -> Column:
+def joined_names(plain: Column) -> Column:
+    """The text with the blanks between capitalised words replaced, so that a run of them is one word."""
+    return F.regexp_replace(plain, r" (?=\p{Lu})(?<=(?<![\p{L}\p{N}])\p{Lu}[\p{L}\p{N}]{0,40} )", JOIN)
+
+
+def canonical(joined: Column) -> Column:
     """The text with typed placeholders, a word for a word."""
 
     def typed(named: Column) -> Column:
@@ -61,7 +70,7 @@ def canonical(text: Column) -> Column:
         units = F.regexp_replace(numbered, rf"(?i)(?<=\x02 )(?:{UNITS})(?![\p{{L}}\p{{N}}])", UNIT)
         return F.lower(F.when(named.rlike(r"\d"), units).otherwise(named))
 
-    return let(F.regexp_replace(text, r"\p{Lu}(?<=[\p{L}\p{N},] .)[\p{L}\p{N}]*", NAME), typed)
+    return let(F.regexp_replace(joined, r"\p{Lu}(?<![\p{L}\p{N}\x04].)[\p{L}\p{N}\x04]*", NAME), typed)
 
 
 def tokens(text: Column) -> Column:
@@ -71,23 +80,27 @@ def tokens(text: Column) -> Column:
 def window_rows(texts: DataFrame, ids: list[str], keep=None, size: Column | None = None) -> DataFrame:
     """One row per window of `size` words (five): its hash, its start, its template and original words.
 
+    Windows are those of the typed text and, marked `plain`, those of its lower-cased words,
+    which hold a verbatim passage in any layout or case.
+
     `keep` tests a hash; other windows are left out before rows are made of them. All of a
     text's steps are one expression whose parts are bound once (`let`), and rows are made
     by an outer explode, which no filter is inferred from: the optimizer must not copy the
     costly parts into lambdas.
     """
-    width = F.lit(WINDOW) if size is None else size
-    none = F.array().cast("array<struct<hash:bigint,at:int,template:array<string>,own:array<string>>>")
+    none = F.array().cast("array<struct<plain:boolean,hash:bigint,at:int,template:array<string>,own:array<string>>>")
 
-    def windows(template: Column, own: Column) -> Column:
+    def windows(template: Column, own: Column, plain: bool) -> Column:
+        width = F.least(F.lit(WINDOW), F.size(template)) if size is None else size
         hashed = F.transform(
             F.sequence(F.lit(1), F.size(template) - width + 1),
-            lambda i: F.struct(F.xxhash64(F.slice(template, i, width)).alias("hash"), i.alias("at")),
+            lambda i: F.struct(F.xxhash64(F.lit(plain), F.slice(template, i, width)).alias("hash"), i.alias("at")),
         )
         wanted = hashed if keep is None else F.filter(hashed, lambda w: keep(w["hash"]))
         worded = F.transform(
             wanted,
             lambda w: F.struct(
+                F.lit(plain).alias("plain"),
                 w["hash"].alias("hash"),
                 w["at"].alias("at"),
                 F.slice(template, w["at"], width).alias("template"),
@@ -96,14 +109,18 @@ def window_rows(texts: DataFrame, ids: list[str], keep=None, size: Column | None
         )
         return F.when((F.size(template) >= width) & (width > 0), worded).otherwise(none)
 
-    found = let(
-        without_marks(F.col("text_")),
-        lambda plain: let(tokens(canonical(plain)), lambda t: let(tokens(F.lower(plain)), lambda own: windows(t, own))),
-    )
+    def both(text: Column) -> Column:
+        typed = let(
+            joined_names(text),
+            lambda joined: let(tokens(canonical(joined)), lambda t: let(tokens(F.lower(joined)), lambda own: windows(t, own, False))),
+        )
+        return F.concat(typed, let(tokens(F.lower(text)), lambda own: windows(own, own, True)))
+
+    found = let(without_marks(F.col("text_")), both)
     return (
         texts.select(*ids, F.explode_outer(found).alias("w_"))
         .where(F.col("w_").isNotNull())
-        .select(*ids, *[F.col("w_")[name].alias(name) for name in ("hash", "at", "template", "own")])
+        .select(*ids, *[F.col("w_")[name].alias(name) for name in ("plain", "hash", "at", "template", "own")])
     )
 
 
@@ -111,11 +128,11 @@ def anchors(item_windows: DataFrame, min_cover: float) -> DataFrame:
     """The words of which a document with enough of an item's windows holds at least one; null if there is none."""
     words = F.filter("template", lambda w: ~w.isin(NAME, NUMBER, UNIT))
     longest = F.array_max(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("word"))))
-    best = Window.partitionBy("item_key").orderBy(F.desc_nulls_last(longest["n"]), "at")
+    best = Window.partitionBy("item_key", "plain").orderBy(F.desc_nulls_last(longest["n"]), "at")
     ranked = item_windows.select(
         longest["word"].alias("word"),
         F.row_number().over(best).alias("rank"),
-        F.count("*").over(Window.partitionBy("item_key")).alias("n"),
+        F.count("*").over(Window.partitionBy("item_key", "plain")).alias("n"),
     )
     return ranked.where(F.col("rank") <= F.floor((1 - min_cover) * F.col("n") + 1e-9) + 1).select("word").distinct()
 
@@ -126,7 +143,8 @@ def with_anchor(texts: DataFrame, item_windows: DataFrame, min_cover: float) ->
     if missing:
         return texts
     table = build(words, "word", count, 64, 3, seed=5)
-    held = let(tokens(canonical(without_marks(F.col("text_")))), lambda found: F.exists(found, table.may_hold))
+    # A word that is no placeholder in the typed text is one of the lower-cased words as well.
+    held = let(tokens(F.lower(without_marks(F.col("text_")))), lambda found: F.exists(found, table.may_hold))
     return texts.where(held)
 
 
@@ -138,10 +156,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER, m
         .distinct()
         .withColumn("item_key", F.xxhash64("item_id", "text_"))
     )
-    length = F.size(tokens(canonical(without_marks(F.col("text_")))))
-    counts = Window.partitionBy("item_key")
+    counts = Window.partitionBy("item_key", "plain")
     item_windows = stored(
-        window_rows(items, ["item_id", "item_key"], size=F.least(F.lit(WINDOW), length))
+        window_rows(items, ["item_id", "item_key"])
         .withColumns({"size": F.size("template"), "last": F.max("at").over(counts)})
         .where((F.col("at") > 1) | (F.col("last") == 1))
         .drop("last"),
@@ -155,10 +172,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER, m
     for row in item_windows.groupBy("size").agg(F.countDistinct("hash").alias("n")).collect():
         part = item_windows.where(F.col("size") == row["size"])
         table = build(part.select("hash"), "hash", row["n"], 16, 2, seed=7)
-        size = None if row["size"] == WINDOW else F.lit(row["size"])
-        own = window_rows(texts, ["doc_id"], table.may_hold, size)
-        joined = own.alias("d").join(part.alias("b"), ["hash", "template"]).select(
-            "doc_id", "item_id", "item_key", F.col("b.at").alias("item_at"), F.col("d.at").alias("doc_at"),
+        own = window_rows(texts, ["doc_id"], table.may_hold, F.lit(row["size"]))
+        joined = own.alias("d").join(part.alias("b"), ["plain", "hash", "template"]).select(
+            "doc_id", "item_id", "item_key", "plain", F.col("b.at").alias("item_at"), F.col("d.at").alias("doc_at"),
             F.col("d.own").alias("doc_words"), F.col("b.own").alias("item_words"), "template",
         )
         matched = joined if matched is None else matched.unionByName(joined)
@@ -166,14 +182,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER, m
         return texts.join(items, F.lit(False)).selectExpr(
             "doc_id", "item_id", "0L AS n_windows", "0L AS n_matched", "0D AS cover", "0L AS n_slots", "0D AS agree", "true AS exact"
         )
-    n_windows = item_windows.groupBy("item_key").agg(F.countDistinct("at").alias("n_windows"))
+    n_windows = item_windows.groupBy("item_key", "plain").agg(F.countDistinct("at").alias("n_windows"))
     # Each placement of the item in the document is judged on its own (equal `shift`), and all matches
     # together (null), where a window prefers its verbatim match: values of a stem that stands before
     # the whole passage are not mixed with the passage's.
     pair = ["doc_id", "item_id", "item_key"]
     same = F.col("doc_words") == F.col("item_words")
     placed = matched.withColumn("shift", F.explode(F.array(F.lit(None).cast("int"), F.col("doc_at") - F.col("item_at"))))
-    covered = placed.groupBy(*pair, "shift", "item_at").agg(
+    covered = placed.groupBy(*pair, "plain", "shift", "item_at").agg(
         F.min_by(F.struct("doc_words", "item_words", "template"), F.struct(~same, "doc_at")).alias("m"),
         F.max(same.cast("int")).alias("same"),
     )
@@ -187,7 +203,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER, m
         ),
         lambda slot: slot.isNotNull(),
     )
-    summed = covered.groupBy(*pair, "shift").agg(
+    summed = covered.groupBy(*pair, "plain", "shift").agg(
         F.count("*").alias("n_matched"),
         F.sum("same").alias("n_same"),
         F.array_distinct(F.flatten(F.collect_list(slots))).alias("slots"),
@@ -195,7 +211,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER, m
     )
     # Slot values of one item are as many as the item has words; consistent ones have one counterpart.
     # Verbatim windows that cover enough by themselves are accepted with their own slots, which agree.
-    judged = summed.join(n_windows, "item_key").withColumn("verbatim", F.col("n_same") / F.col("n_windows") >= min_cover)
+    judged = summed.join(n_windows, ["item_key", "plain"]).withColumn("verbatim", F.col("n_same") / F.col("n_windows") >= min_cover)
     judged = judged.withColumns(
         {
             "n_matched": F.when(F.col("verbatim"), F.col("n_same")).otherwise(F.col("n_matched")),
