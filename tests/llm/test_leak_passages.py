@@ -5,7 +5,7 @@ import pytest
 from tickerloom.llm.template_leaks import leaks
 
 ITEM = "a train drives 120 km in 3 hours and then stops for 20 minutes so how far does it go"
-STEM = "a train drives 45 km in 7 hours and then waits"
+STEM = "a train drives 45 km in 7 cars"
 
 
 def found(spark, text, item=ITEM):
