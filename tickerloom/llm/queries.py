@@ -18,6 +18,7 @@ from tickerloom.llm.token_files import read_token_files, write_token_files
 from tickerloom.llm.toxic_spans import score_toxicity
 from tickerloom.llm.url_cascade import judge_urls
 from tickerloom.llm.warc import read_warc, write_warc
+from tickerloom.llm.whitening import by_component, whiten
 
 URL_RULES = [
     ("com", "/", "allow"),
@@ -90,6 +91,10 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return by_component(whiten(read(spark, folder, "embeddings"), "embedding", 32))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -98,7 +103,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_discriminant, op2_toxic_spans, op3_warc, op4_template_leaks, op5_personal_data, op6_sentencepiece,
-        op7_line_rules, op8_url_cascade, op9_simhash, op10_token_files, pipeline,
+        op7_line_rules, op8_url_cascade, op9_simhash, op10_token_files, op11_whitening, pipeline,
     )
 }
 ORACLES = {"op7_line_rules": LINES_SQL, "op8_url_cascade": URLS_SQL}
