@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tickerloom.llm.common import new_folder, read
+from tickerloom.llm.common import let, new_folder, read, words_of
+from tickerloom.llm.periodic_runs import periodic_runs
 from tickerloom.llm.pieces import decode_documents, encode_documents
 from tickerloom.llm.pii import find_personal_data
 from tickerloom.llm.quality_lines import clean_lines
@@ -95,6 +96,40 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return by_component(whiten(read(spark, folder, "embeddings"), "embedding", 32))
 
 
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """doc_id and text; every tenth text, by the id's crc32, repeats some of its words from some place on."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeat(words: Column) -> Column:
+        n = F.size(words)
+        first = g % n
+        period = 1 + F.floor((n - first) / (3 + g % 8))
+        word = lambda w, i: F.when(i < first, w).otherwise(F.get(words, (first + (i - first) % period).cast("int")))
+        return F.when(n > 0, F.array_join(F.transform(words, word), " ")).otherwise("")
+
+    text = F.when(h % 10 == 0, let(words_of(F.coalesce("text", F.lit(""))), repeat)).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs(with_planted_period(read(spark, folder, "documents")))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    # A line feed after every run: between them, and behind the last.
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"], r["period"])))
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        (-F.col("longest.shorter")).alias("length"),
+        F.col("longest.period").alias("period"),
+        F.floor(-1000 * F.col("longest.shorter") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -103,7 +138,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_discriminant, op2_toxic_spans, op3_warc, op4_template_leaks, op5_personal_data, op6_sentencepiece,
-        op7_line_rules, op8_url_cascade, op9_simhash, op10_token_files, op11_whitening, pipeline,
+        op7_line_rules, op8_url_cascade, op9_simhash, op10_token_files, op11_whitening,
+        op12_periodic_runs, pipeline,
     )
 }
 ORACLES = {"op7_line_rules": LINES_SQL, "op8_url_cascade": URLS_SQL}
