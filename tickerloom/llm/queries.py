@@ -11,6 +11,7 @@ from tickerloom.llm.periodic_runs import periodic_runs
 from tickerloom.llm.pieces import decode_documents, encode_documents
 from tickerloom.llm.pii import find_personal_data
 from tickerloom.llm.quality_lines import clean_lines
+from tickerloom.llm.scaled_sketch import as_text, containment, sketch_edits
 from tickerloom.llm.simhash import near_duplicates
 from tickerloom.llm.sql import LINES_SQL, URLS_SQL
 from tickerloom.llm.statistics_qda import score_quality
@@ -130,6 +131,18 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_scaled_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch_edits(read(spark, folder, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        as_text("sketch").alias("fingerprint"),
+        as_text("edited_sketch").alias("edited_fingerprint"),
+        containment("sketch", "edited_sketch").alias("near_edited"),
+        containment("sketch", "next_sketch").alias("near_next"),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -139,7 +152,7 @@ QUERIES = {
     for f in (
         op1_quality_discriminant, op2_toxic_spans, op3_warc, op4_template_leaks, op5_personal_data, op6_sentencepiece,
         op7_line_rules, op8_url_cascade, op9_simhash, op10_token_files, op11_whitening,
-        op12_periodic_runs, pipeline,
+        op12_periodic_runs, op13_scaled_sketch, pipeline,
     )
 }
 ORACLES = {"op7_line_rules": LINES_SQL, "op8_url_cascade": URLS_SQL}
