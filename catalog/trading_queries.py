@@ -431,18 +431,22 @@ def cash_sql(positions: str) -> str:
       SELECT ev.strategy, ev.ticker, ev.date, ev.entry_date, ev.is_exit, f.cash, f.cost FROM f JOIN ev ON ev.k = f.k"""
 
 
-CASH_SQL = cash_sql(MOMENTUM_SQL)
+STRATEGIES = {"sentiment_momentum": MOMENTUM_SQL, "news_volume": VOLUME_SQL}
+CASH_SQL = " UNION ALL ".join(f"({cash_sql(positions)})" for positions in STRATEGIES.values())
 
 
-def momentum(t):
-    position = trades.positions(predicted(t), MOMENTUM)
+def booked(t):
+    """Positions of both strategies, their cash events and sizes."""
+    position = taken(t)
     events = trades.cash_events(position)
     return position, events, trades.sized_positions(position, events)
 
 
-query("cash_events", "cash:2 cost:2", CASH_SQL)(lambda t: momentum(t)[1])
+query("cash_events", "cash:2 cost:2", CASH_SQL)(lambda t: booked(t)[1])
 
-EQUITY_SQL = f"""WITH lifted AS MATERIALIZED ({LIFTED}), ce AS MATERIALIZED ({CASH_SQL}), ps AS MATERIALIZED ({MOMENTUM_SQL}),
+
+def equity_sql(name: str, positions: str) -> str:
+    return f"""WITH lifted AS MATERIALIZED ({LIFTED}), ce AS MATERIALIZED ({cash_sql(positions)}), ps AS MATERIALIZED ({positions}),
   q AS (SELECT ps.*, cost / entry_price AS quantity FROM ps JOIN ce ON ce.ticker = ps.ticker AND ce.entry_date = ps.entry_date AND NOT ce.is_exit),
   d AS (SELECT DISTINCT date FROM bars),
   m AS (SELECT d.date, q.ticker, q.quantity, q.entry_price, q.direction,
@@ -450,25 +454,29 @@ EQUITY_SQL = f"""WITH lifted AS MATERIALIZED ({LIFTED}), ce AS MATERIALIZED ({CA
         FROM d JOIN q ON d.date >= q.entry_date AND (q.exit_date IS NULL OR d.date < q.exit_date)),
   v AS (SELECT date, sum(quantity * (entry_price + direction * (mark - entry_price))) AS worth FROM m GROUP BY date),
   c AS (SELECT date, max_by(cash, ticker) AS cash FROM ce GROUP BY date)
-  SELECT 'sentiment_momentum' AS strategy, d.date, round(coalesce(last_value(c.cash IGNORE NULLS) OVER (ORDER BY d.date ROWS UNBOUNDED PRECEDING), 100000)
+  SELECT '{name}' AS strategy, d.date, round(coalesce(last_value(c.cash IGNORE NULLS) OVER (ORDER BY d.date ROWS UNBOUNDED PRECEDING), 100000)
     + coalesce(worth, 0), 6) AS value FROM d LEFT JOIN v ON v.date = d.date LEFT JOIN c ON c.date = d.date"""
 
 
-def momentum_equity(t):
-    _, events, sized = momentum(t)
-    return trades.equity_curve(sized, events, lifted(t), ["sentiment_momentum"])
+EQUITY_SQL = " UNION ALL ".join(f"({equity_sql(name, positions)})" for name, positions in STRATEGIES.items())
+
+
+def strategy_equity(t):
+    _, events, sized = booked(t)
+    return trades.equity_curve(sized, events, lifted(t), list(STRATEGIES))
 
 
-query("equity_curve", "value:2", EQUITY_SQL)(momentum_equity)
+query("equity_curve", "value:2", EQUITY_SQL)(strategy_equity)
 
 query(
     "trade_log",
     "quantity:3 entry_price exit_price pnl:2 return",
     f"""SELECT ps.strategy, ps.ticker, direction, cost / entry_price AS quantity, entry_price, exit_price, ps.entry_date, exit_date,
           direction * (exit_price - entry_price) * cost / entry_price AS pnl, direction * (exit_price - entry_price) / entry_price AS return
-        FROM ({MOMENTUM_SQL}) ps JOIN ({CASH_SQL}) ce ON ce.ticker = ps.ticker AND ce.entry_date = ps.entry_date AND NOT ce.is_exit
+        FROM (({MOMENTUM_SQL}) UNION ALL ({VOLUME_SQL})) ps JOIN ({CASH_SQL}) ce
+          ON ce.strategy = ps.strategy AND ce.ticker = ps.ticker AND ce.entry_date = ps.entry_date AND NOT ce.is_exit
         WHERE exit_date IS NOT NULL""",
-)(lambda t: trades.trade_log(momentum(t)[2]))
+)(lambda t: trades.trade_log(booked(t)[2]))
 
 STRATEGY_TRADES = f"""SELECT strategy, ticker, entry_date, exit_date, direction * (exit_price - entry_price) / entry_price AS return
   FROM (({MOMENTUM_SQL}) UNION ALL ({VOLUME_SQL})) WHERE exit_date IS NOT NULL"""
@@ -515,9 +523,9 @@ query(
 
 
 def curves(t):
-    """Both curves and the log of closed trades."""
-    _, events, sized = momentum(t)
-    equity = trades.equity_curve(sized, events, lifted(t), ["sentiment_momentum"])
+    """The curves of both strategies and the benchmark, and the log of closed trades."""
+    _, events, sized = booked(t)
+    equity = trades.equity_curve(sized, events, lifted(t), list(STRATEGIES))
     return equity.unionByName(trades.buy_and_hold_curve(t.bars)), trades.trade_log(sized)
 
 
@@ -527,7 +535,7 @@ PERFORMANCE_SQL = f"""WITH e AS MATERIALIZED (({EQUITY_SQL}) UNION ALL ({HOLD_SQ
   a AS (SELECT strategy, max_by(value, date) / 100000 - 1 AS total_return, pow(max_by(value, date) / 100000, 252 / count(*)) - 1 AS annualized_return,
           stddev_samp(er) * sqrt(252) AS volatility, min(dd) AS max_drawdown, max_by(value, date) AS final_value FROM r GROUP BY strategy),
   l AS (SELECT strategy, avg((return > 0)::INT) AS win_rate, count(*) AS num_trades, avg(return) FILTER (return > 0) AS avg_win,
-          avg(return) FILTER (return < 0) AS avg_loss FROM ({STRATEGY_TRADES}) WHERE strategy = 'sentiment_momentum' GROUP BY strategy)
+          avg(return) FILTER (return < 0) AS avg_loss FROM ({STRATEGY_TRADES}) GROUP BY strategy)
   SELECT a.*, coalesce(win_rate, 0) AS win_rate, coalesce(num_trades, 0) AS num_trades, coalesce(avg_win, 0) AS avg_win, coalesce(avg_loss, 0) AS avg_loss,
     coalesce(abs(avg_win / avg_loss), 0) AS profit_factor, (annualized_return - 0.02) / volatility AS sharpe_ratio FROM a LEFT JOIN l ON l.strategy = a.strategy"""
 PERFORMANCE_DOUBLES = (

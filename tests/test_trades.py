@@ -3,8 +3,9 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from tickerloom.operators import risk, trades
+from tickerloom.operators import cash, risk, trades
 
 
 def market(spark):
@@ -72,6 +73,57 @@ def test_strategy_equals_simulation(spark, strategy):
     assert metrics["final_value"] == pytest.approx(curve[max(curve)])
 
 
+@pytest.mark.parametrize("segment_dates,events_a_block", [(11, 25), (30, 12), (1024, 12)])
+def test_cash_does_not_depend_on_blocks_and_segments(spark, segment_dates, events_a_block):
+    panel, data = market(spark)
+    both = [trades.sentiment_momentum(), trades.news_volume(1, 0.05)]
+    taken = trades.positions(panel, both[0]).unionByName(trades.positions(panel, both[1]))
+    events = cash.position_events(taken, trades.trade_return())
+    rows = cash.book_events(events, 100000.0, segment_dates, events_a_block).toPandas()
+    assert len(rows) == events.count()
+    for strategy, own in rows.groupby("strategy"):
+        now, costs = 100000.0, {}
+        ordered = own.merge(
+            events.where(F.col("strategy") == strategy).drop("strategy").toPandas(), on=["ticker", "date", "entry_date", "is_exit"]
+        ).sort_values(["date", "ticker"])
+        for row in ordered.itertuples(index=False):
+            if row.is_exit:
+                now += row.growth * costs.pop(row.ticker)
+            else:
+                costs[row.ticker] = now * row.share
+                now -= costs[row.ticker]
+                assert row.cost == pytest.approx(costs[row.ticker], rel=1e-11)
+            assert row.cash == pytest.approx(now, rel=1e-11)
+
+
+@pytest.mark.parametrize("block_rows", [1, 2, 7, 30])
+def test_positions_do_not_depend_on_blocks(spark, block_rows):
+    panel, data = market(spark)
+    for strategy in (trades.sentiment_momentum(), trades.news_volume(1, 0.05), trades.news_volume(1, 0.0, holding_days=40)):
+        whole = trades.positions(panel, strategy).collect()
+        assert sorted(trades.positions(panel, strategy, block_rows).collect(), key=str) == sorted(whole, key=str)
+        assert len(whole) > 3
+
+
+def test_positions_equal_a_walk_along_each_ticker(spark):
+    panel, data = market(spark)
+    strategy = trades.news_volume(1, 0.0, holding_days=11)
+    expected = []
+    for ticker, rows in data.groupby("ticker"):
+        since = None
+        for row in rows.sort_values("date").itertuples(index=False):
+            if since is not None:
+                if (row.date - since).days >= 11:
+                    expected.append((ticker, since, row.date))
+                    since = None
+            elif row.article_count >= 1:
+                since = row.date
+        if since is not None:
+            expected.append((ticker, since, None))
+    got = [(r.ticker, r.entry_date, r.exit_date) for r in trades.positions(panel, strategy).collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
 def test_no_trades_and_no_losses(spark):
     panel, _ = market(spark)
     never = trades.Strategy("never", "pred_confidence > 2", "1", "pred_confidence", 5)

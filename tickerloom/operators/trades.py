@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickerloom.functions import fixed_values as fixed
-from tickerloom.functions.numeric import by_ticker, running
+from tickerloom.functions.numeric import by_ticker, flag, running
+from tickerloom.operators.cash import book_events, position_events
 
 
 @dataclass(frozen=True)
@@ -49,56 +48,78 @@ def news_volume(
     )
 
 
-CHOSEN = "struct<until:date,trades:array<struct<entry_date:date,exit_date:date,entry_price:double,exit_price:double,direction:int,confidence:double>>>"
+# Rows a ticker's chain is cut into; a ticker's blocks are bounded by the calendar.
+BLOCK_ROWS = 256
 
 
-def positions(panel: DataFrame, strategy: Strategy) -> DataFrame:
+def positions(panel: DataFrame, strategy: Strategy, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Positions a strategy takes, one after the other per ticker.
 
     A position opens on the first row that meets the rule while none is open, and closes
     on the first row at least `holding_days` later, a row that opens none itself. The
     closing row is among the next `holding_days` rows, as a ticker has one row per day.
-    The choice of non-overlapping positions folds a ticker's candidates in date order;
-    a ticker has at most one per calendar day. Open ends have a null `exit_date`.
+    Open ends have a null `exit_date`.
+
+    What a ticker holds is a number of rows until it is flat, so each row is a map of a few
+    states to themselves, and maps compose in any grouping. A block of `block_rows` rows is composed to one
+    map, the maps of the earlier blocks give the state a block begins with, and the block then
+    tells its own entries: no array is longer than a block or than a ticker's blocks.
     """
     window = by_ticker()
-    due = F.date_add(F.col("date"), strategy.holding_days)
+    holding = strategy.holding_days
+    due = F.date_add(F.col("date"), holding)
     ahead = [
-        F.struct(F.lead("date", k).over(window).alias("date"), F.lead("close", k).over(window).alias("close"))
-        for k in range(1, strategy.holding_days + 1)
+        F.struct(F.lit(k).alias("rows"), F.lead("date", k).over(window).alias("date"), F.lead("close", k).over(window).alias("close"))
+        for k in range(1, holding + 1)
     ]
     closing = F.coalesce(*[F.when(row["date"] >= due, row) for row in ahead])
-    candidates = (
-        panel.withColumn("_closing", closing)
-        .where(F.expr(strategy.enter))
-        .select(
-            "ticker",
-            F.struct(
-                F.col("date").alias("entry_date"),
-                F.col("_closing.date").alias("exit_date"),
-                F.col("close").alias("entry_price"),
-                F.col("_closing.close").alias("exit_price"),
-                F.expr(strategy.direction).cast("int").alias("direction"),
-                F.expr(strategy.confidence).cast("double").alias("confidence"),
-            ).alias("candidate"),
-        )
+    rows = panel.withColumns(
+        {"_closing": closing, "_enter": flag(F.expr(strategy.enter)) == 1, "_number": F.row_number().over(window) - 1}
+    ).select(
+        "ticker",
+        F.floor(F.col("_number") / block_rows).alias("_block"),
+        F.struct(
+            F.col("date").alias("entry_date"),
+            # Rows until flat again after an entry here; one more than any if it never is.
+            F.when(F.col("_enter"), F.coalesce(F.col("_closing.rows"), F.lit(holding + 1))).otherwise(0).alias("held"),
+            # Only rows that may enter carry a position.
+            F.when(
+                F.col("_enter"),
+                F.struct(
+                    F.col("_closing.date").alias("exit_date"),
+                    F.col("close").alias("entry_price"),
+                    F.col("_closing.close").alias("exit_price"),
+                    F.expr(strategy.direction).cast("int").alias("direction"),
+                    F.expr(strategy.confidence).cast("double").alias("confidence"),
+                ),
+            ).alias("position"),
+        ).alias("_row"),
     )
-    nothing = F.struct(
-        F.lit("0001-01-01").cast("date").alias("until"), F.array().alias("trades")
-    ).cast(CHOSEN)
-    forever = F.lit("9999-12-31").cast("date")
-
-    def choose(chosen: Column, candidate: Column) -> Column:
-        taken = F.struct(
-            F.coalesce(candidate["exit_date"], forever).alias("until"),
-            F.concat(chosen["trades"], F.array(candidate)).alias("trades"),
-        )
-        return F.when(candidate["entry_date"] > chosen["until"], taken).otherwise(chosen)
 
-    folded = candidates.groupBy("ticker").agg(
-        F.aggregate(F.array_sort(F.collect_list("candidate")), nothing, choose)["trades"].alias("trades")
+    def follow(state: Column, row: Column) -> Column:
+        """The state behind a row; the last state, an open end, stays."""
+        return F.when(state == 0, row["held"]).when(state > holding, state).otherwise(state - 1)
+
+    blocks = rows.groupBy("ticker", "_block").agg(F.array_sort(F.collect_list("_row")).alias("_rows"))
+    states = F.sequence(F.lit(0), F.lit(holding + 1))
+    mapped = blocks.withColumn("_map", F.transform(states, lambda start: F.aggregate("_rows", start, follow)))
+    earlier = Window.partitionBy("ticker").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    maps = F.collect_list("_map").over(earlier)
+    begun = mapped.withColumn("_state", F.aggregate(maps, F.lit(0), lambda state, block: F.get(block, state)))
+    chosen = F.aggregate(
+        "_rows",
+        F.struct(F.col("_state").alias("state"), F.filter("_rows", lambda row: F.lit(False)).alias("taken")),
+        lambda held, row: F.struct(
+            follow(held["state"], row).alias("state"),
+            F.when((held["state"] == 0) & (row["held"] > 0), F.concat(held["taken"], F.array(row)))
+            .otherwise(held["taken"])
+            .alias("taken"),
+        ),
+    )["taken"]
+    taken = begun.select("ticker", F.explode(chosen).alias("_row"))
+    return taken.select(F.lit(strategy.name).alias("strategy"), "ticker", "_row.entry_date", "_row.position.*").select(
+        "strategy", "ticker", "entry_date", "exit_date", "entry_price", "exit_price", "direction", "confidence"
     )
-    return folded.select(F.lit(strategy.name).alias("strategy"), "ticker", F.inline("trades"))
 
 
 def trade_return() -> Column:
@@ -106,62 +127,10 @@ def trade_return() -> Column:
     return F.col("direction") * (F.col("exit_price") - F.col("entry_price")) / F.col("entry_price")
 
 
-def position_size(cash: Column, price: Column, confidence: Column) -> Column:
-    """Shares for 2 % of cash scaled by confidence, at most 10 % of cash."""
-    return F.least(cash * 0.02 * confidence, cash * 0.1) / price
-
-
-def _fold_cash(initial: float):
-    """Cash after every entry and exit, in date and ticker order.
-
-    An entry costs a share of the cash at that moment; an exit returns that cost with
-    its profit. Batches of events stream through; only open costs are kept.
-    """
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cash: dict[str, float] = {}
-        costs: dict[tuple[str, str], float] = {}
-        for batch in batches:
-            after, cost = [], []
-            for row in batch.itertuples(index=False):
-                key = (row.strategy, row.ticker)
-                now = cash.get(row.strategy, initial)
-                if row.is_exit:
-                    paid = costs.pop(key)
-                    now += paid * (1 + row.event_return)
-                else:
-                    paid = now * min(0.02 * row.confidence, 0.1)
-                    costs[key] = paid
-                    now -= paid
-                cash[row.strategy] = now
-                after.append(now)
-                cost.append(paid)
-            yield batch[["strategy", "ticker", "date", "entry_date", "is_exit"]].assign(cash=after, cost=cost)
-
-    return fold
-
-
 def cash_events(taken: DataFrame, initial_capital: float = fixed.INITIAL_CAPITAL) -> DataFrame:
-    """Cash after every position event, and the position's entry cost.
-
-    Sizes depend on the cash left by all earlier events, so a strategy's events (already
-    reduced from bars to entries and exits) are folded in order: strategies run side by
-    side, and a strategy's events stream through in Arrow batches without being held.
-    """
-    entry = F.struct(
-        F.col("entry_date").alias("date"), F.lit(False).alias("is_exit"), F.lit(0.0).alias("event_return")
-    )
-    leave = F.struct(
-        F.col("exit_date").alias("date"), F.lit(True).alias("is_exit"), trade_return().alias("event_return")
-    )
-    events = taken.select(
-        "strategy", "ticker", "entry_date", "confidence", F.inline(F.array(entry, leave))
-    ).where(F.col("date").isNotNull())
-    ordered = events.repartition("strategy").sortWithinPartitions("strategy", "date", "ticker")
-    return ordered.mapInPandas(
-        _fold_cash(initial_capital),
-        "strategy string, ticker string, date date, entry_date date, is_exit boolean, cash double, cost double",
-    )
+    """Cash after every position event, and the position's entry cost: 2 % of the cash at that
+    moment scaled by confidence, at most 10 %; an exit returns the cost with its profit."""
+    return book_events(position_events(taken, trade_return()), initial_capital)
 
 
 def sized_positions(taken: DataFrame, events: DataFrame) -> DataFrame:
