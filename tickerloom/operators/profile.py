@@ -4,61 +4,41 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickerloom.functions import fixed_values as fixed, text
 from tickerloom.functions.numeric import count_true, sample_skewness
-from tickerloom.operators.quantiles import exact_quantiles
+from tickerloom.operators.moments import column_moments, correlations
+from tickerloom.operators.quantiles import quantile_profile
 
 YEAR = fixed.TRADING_DAYS_PER_YEAR
 
 
-# Columns per aggregate: more make generated code too large to compile well.
-COLUMN_BATCH = 25
+def describe(df: DataFrame, columns: Iterable[str], measures: Callable[[str], list[Column]] = lambda name: []) -> DataFrame:
+    """Count, mean, deviation, minimum, exact quartiles and maximum per column, then what `measures` gives.
 
-
-def per_column(df: DataFrame, columns: Iterable[str], measures, batch: int = COLUMN_BATCH) -> DataFrame:
-    """One row per column; `measures(name)` gives its named aggregates.
-
-    Columns are aggregated in batches. A batch over a stored table reads its own columns
-    only, so all batches together read the table once.
+    Two passes: one for moments and a quantile sketch, one that counts around the quartiles.
     """
-    columns = list(columns)
-    result = None
-    for start in range(0, len(columns), batch):
-        part = columns[start : start + batch]
-        records = [F.struct(F.lit(name).alias("column"), *measures(name)).alias(f"c{i}") for i, name in enumerate(part)]
-        rows = df.agg(*records).select(F.inline(F.array(*[F.col(f"c{i}") for i in range(len(part))])))
-        result = rows if result is None else result.unionByName(rows)
-    return result
-
-
-def describe(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Count, mean, deviation, minimum, exact quartiles and maximum per column."""
-    columns = list(columns)
 
     def moments(name: str) -> list[Column]:
         value = F.col(name).cast("double")
         return [
-            F.count(value).alias("count"),
             F.avg(value).alias("mean"),
             F.stddev_samp(value).alias("std"),
             F.min(value).alias("min"),
             F.max(value).alias("max"),
+            *measures(name),
         ]
 
-    quartiles = exact_quantiles(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    return (
-        per_column(df, columns, moments)
-        .join(quartiles, "column", "left")
-        .select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
-    )
+    quartiles = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    found = quantile_profile(df, columns, quartiles, measures=moments).withColumnRenamed("_present", "count")
+    shown = ["column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"]
+    return found.select(*shown, *[name for name in found.columns if name not in shown])
 
 
 def safe_corr(left: str, right: str) -> Column:
@@ -81,29 +61,22 @@ def correlation_matrix(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "left string, right string, correlation double")
 
 
-def correlated_pairs(df: DataFrame, columns: Iterable[str], threshold: float = 0.95, batch: int = 200) -> DataFrame:
-    """Column pairs with |r| above the threshold, over pairwise present rows.
-
-    The pairs of columns (a number set by the schema) are aggregates of one pass per
-    `batch` pairs.
-    """
-    pairs = list(itertools.combinations(list(columns), 2))
-    result = None
-    for start in range(0, len(pairs), batch):
-        part = pairs[start : start + batch]
-        wide = df.agg(*[safe_corr(left, right).alias(f"r{i}") for i, (left, right) in enumerate(part)])
-        entries = [
-            F.struct(F.lit(left).alias("feature1"), F.lit(right).alias("feature2"), F.abs(f"r{i}").alias("correlation"))
-            for i, (left, right) in enumerate(part)
-        ]
-        rows = wide.select(F.inline(F.array(*entries)))
-        result = rows if result is None else result.unionByName(rows)
-    return result.where(F.col("correlation") > threshold)
+def correlated_pairs(df: DataFrame, columns: Iterable[str], threshold: float = 0.95) -> DataFrame:
+    """Column pairs with |r| above the threshold, over pairwise present rows: one pass for all pairs."""
+    columns = list(columns)
+    place = {name: i for i, name in enumerate(columns)}
+    places = F.create_map(*[F.lit(item) for pair in place.items() for item in pair])
+    return (
+        correlations(df, columns, columns)
+        .where(places[F.col("left")] < places[F.col("right")])
+        .select(F.col("left").alias("feature1"), F.col("right").alias("feature2"), F.abs("correlation").alias("correlation"))
+        .where(F.col("correlation") > threshold)
+    )
 
 
 def target_correlations(df: DataFrame, features: Iterable[str], target: str) -> DataFrame:
-    features = list(features)
-    return per_column(df, features, lambda name: [F.abs(safe_corr(name, target)).alias("correlation")])
+    found = correlations(df, features, [target])
+    return found.select(F.col("left").alias("column"), F.abs("correlation").alias("correlation"))
 
 
 def top_correlated(df: DataFrame, features: Iterable[str], target: str, top: int = 10) -> DataFrame:
@@ -117,14 +90,10 @@ def value_counts(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def null_census(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    columns = list(columns or df.columns)
-    rows = F.count("*")
-
-    def measures(name: str) -> list[Column]:
-        missing = F.count_if(F.col(name).isNull())
-        return [missing.alias("missing_count"), F.try_divide(missing * 100.0, rows).alias("missing_percentage")]
-
-    return per_column(df, columns, measures)
+    missing = F.col("rows") - F.col("count")
+    return column_moments(df, columns or df.columns).select(
+        "column", missing.alias("missing_count"), F.try_divide(missing * 100.0, F.col("rows")).alias("missing_percentage")
+    )
 
 
 def null_overview(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -142,9 +111,7 @@ def null_overview(df: DataFrame, columns: Iterable[str] | None = None) -> DataFr
 
 
 def infinity_census(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return per_column(
-        df, columns, lambda name: [F.count_if(F.abs(F.col(name)) == float("inf")).alias("infinite_count")]
-    )
+    return column_moments(df, columns).select("column", "infinite_count")
 
 
 def bar_quality(bars: DataFrame) -> DataFrame:
@@ -228,26 +195,21 @@ def feature_metadata(df: DataFrame) -> DataFrame:
     """Class, type, missing share and moments of every column but the row ids."""
     types = dict(df.dtypes)
     columns = [name for name in df.columns if name not in ("ticker", "date", "timestamp")]
-    numeric = {name for name, kind in types.items() if kind in ("int", "bigint", "double", "float", "smallint", "tinyint")}
-    rows = F.count("*")
-
-    def measures(name: str) -> list[Column]:
-        kind, description = feature_class(name)
-        missing = F.count_if(F.col(name).isNull())
-        value = F.col(name).cast("double") if name in numeric else F.lit(None).cast("double")
-        return [
-            F.lit(kind).alias("feature_type"),
-            F.lit(description).alias("description"),
-            F.lit(types[name]).alias("data_type"),
-            missing.alias("missing_count"),
-            F.try_divide(missing * 100.0, rows).alias("missing_percentage"),
-            F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"),
-            F.min(value).alias("min"),
-            F.max(value).alias("max"),
-        ]
-
-    return per_column(df, columns, measures).withColumnRenamed("column", "feature_name")
+    names = df.sparkSession.createDataFrame(
+        [(name, *feature_class(name), types[name]) for name in columns],
+        "feature_name string, feature_type string, description string, data_type string",
+    )
+    missing = F.col("rows") - F.col("count")
+    found = column_moments(df, columns).select(
+        F.col("column").alias("feature_name"),
+        missing.alias("missing_count"),
+        F.try_divide(missing * 100.0, F.col("rows")).alias("missing_percentage"),
+        "mean",
+        "std",
+        "min",
+        "max",
+    )
+    return names.join(found, "feature_name")
 
 
 def feature_families(columns: Iterable[str]) -> dict[str, int]:
@@ -263,19 +225,22 @@ def feature_families(columns: Iterable[str]) -> dict[str, int]:
 
 def sentiment_summary(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """`describe` of the sentiment columns with their correlation with the return."""
-    columns = list(columns)
-    summary = describe(df, columns)
     if "daily_return" not in df.columns:
-        return summary
-    correlation = per_column(
-        df, columns, lambda name: [safe_corr(name, "daily_return").alias("correlation_with_returns")]
-    )
-    return summary.join(correlation, "column", "left")
+        return describe(df, columns)
+    return describe(df, columns, lambda name: [safe_corr(name, "daily_return").alias("correlation_with_returns")])
+
+
+# Up to here the continued fraction converges within some ten thousand steps.
+NORMAL_FREEDOM = 1e8
 
 
 def student_two_sided(statistic: float, freedom: float) -> float:
     """Two-sided tail of Student's t: the regularised incomplete beta function at
     x = v/(v+t^2) with parameters v/2 and 1/2, by its continued fraction."""
+    if freedom > NORMAL_FREEDOM:
+        # Beyond this freedom the tail is a normal one of the shrunk statistic, to an error of order 1/freedom^2.
+        shrunk = statistic * (1 - 1 / (4 * freedom)) / math.sqrt(1 + statistic * statistic / (2 * freedom))
+        return math.erfc(abs(shrunk) / math.sqrt(2))
     x = freedom / (freedom + statistic * statistic)
     a, b = freedom / 2, 0.5
     if x <= 0 or x >= 1:
@@ -286,7 +251,7 @@ def student_two_sided(statistic: float, freedom: float) -> float:
     log_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
     c, d = 1.0, 1 / (1 - (a + b) * x / (a + 1))
     fraction = d
-    for m in range(1, 500):
+    for m in itertools.count(1):
         even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
         d = 1 / (1 + even * d)
         c = 1 + even / c

@@ -8,12 +8,16 @@ does not depend on where the split points fall.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import functools
+import operator
+from collections.abc import Callable, Iterable
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKETS = 256
+# The sketch's rank error is at most 1/ACCURACY of the values.
+ACCURACY = 10000
 RUNNING = (Window.unboundedPreceding, Window.currentRow)
 
 
@@ -33,68 +37,98 @@ def with_buckets(df: DataFrame, columns: list[str], buckets: int = BUCKETS) -> D
     ).transform(df)
 
 
-def exact_quantiles(
-    df: DataFrame, columns: Iterable[str], shares: dict[str, float], by: Iterable[str] = (), buckets: int = BUCKETS
+def _zone(value: Column, bounds: list[tuple[Column, Column]]) -> tuple[Column, Column]:
+    """The interval between bounds a value lies in, counted upwards, and whether a bracket covers it."""
+    steps = [(value >= low).cast("int") + (value > high).cast("int") for low, high in bounds]
+    inside = [(value >= low) & (value <= high) for low, high in bounds]
+    return sum(steps[1:], steps[0]), functools.reduce(operator.or_, inside)
+
+
+def quantile_profile(
+    df: DataFrame,
+    columns: Iterable[str],
+    shares: dict[str, float],
+    by: Iterable[str] = (),
+    measures: Callable[[str], list[Column]] = lambda name: [],
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """Linear-interpolated quantiles per group: one row per (`by`, `column`).
+    """Exact linear-interpolated quantiles beside other aggregates: one row per (`by`, `column`).
 
-    `shares` maps result names to shares, e.g. {"median": 0.5}.
+    The first pass aggregates `measures(column)` and a mergeable sketch of every column, which gives a
+    bracket around each wanted rank, 4/accuracy of the values wide. The second pass counts:
+    values inside a bracket by value, all others by the interval they lie in, so that little
+    leaves a task. The wanted values are read off the running counts. Without `by`, brackets are
+    literals (two numbers per column and share); else they join on the group. `by` columns are not null.
     """
     columns, by = list(columns), list(by)
-    doubles = df.select(*by, *[F.col(name).cast("double").alias(name) for name in columns])
-    entries = [
+    slack = 2 / accuracy
+    wanted = [p for share in shares.values() for p in (max(0.0, share - slack), min(1.0, share + slack))]
+    points = F.array(*[F.lit(p) for p in wanted])
+    value = {name: F.col(name).cast("double") for name in columns}
+    records = [
         F.struct(
-            F.lit(name).alias("column"), F.col(name).alias("value"), F.col(f"_bucket_{name}").alias("bucket")
-        )
-        for name in columns
+            F.lit(name).alias("column"),
+            F.count(value[name]).alias("_present"),
+            F.percentile_approx(value[name], points, F.lit(accuracy)).alias("_bounds"),
+            *measures(name),
+        ).alias(f"_c{i}")
+        for i, name in enumerate(columns)
     ]
-    group = [*by, "column"]
+    wide = df.groupBy(*by).agg(*records)
+    if not by:
+        # One row: the second pass then holds numbers instead of a join.
+        schema = wide.schema
+        wide = df.sparkSession.createDataFrame(wide.collect(), schema)
+        only = wide.first()
+    first = wide.select(*by, F.inline(F.array(*[F.col(f"_c{i}") for i in range(len(columns))])))
+
+    def bounds_of(i: int) -> list[tuple[Column, Column]]:
+        if by:
+            listed = [F.get(F.col(f"_c{i}._bounds"), F.lit(k)) for k in range(len(wanted))]
+        else:
+            listed = [F.lit(b).cast("double") for b in only[f"_c{i}"]["_bounds"] or [None] * len(wanted)]
+        return list(zip(listed[::2], listed[1::2]))
+
+    entries = []
+    for i, name in enumerate(columns):
+        zone, inside = _zone(value[name], bounds_of(i))
+        entries.append(
+            F.struct(F.lit(name).alias("column"), value[name].alias("value"), zone.alias("zone"), inside.alias("inside"))
+        )
+    rows = df.join(wide.select(*by, *[F.col(f"_c{i}") for i in range(len(columns))]), by) if by else df
     counts = (
-        with_buckets(doubles, columns, buckets)
-        .select(*by, F.inline(F.array(*entries)))
+        rows.select(*by, F.inline(F.array(*entries)))
         .where(F.col("value").isNotNull())
-        .groupBy(*group, "bucket", "value")
-        .agg(F.count("*").alias("n"))
-    )
-
-    in_group = Window.partitionBy(*group)
-    totals = counts.groupBy(*group, "bucket").agg(F.sum("n").alias("in_bucket"))
-    placed = totals.select(
-        *group,
-        "bucket",
-        "in_bucket",
-        (F.sum("in_bucket").over(in_group.orderBy("bucket").rowsBetween(*RUNNING)) - F.col("in_bucket")).alias("before"),
-        F.sum("in_bucket").over(in_group).alias("total"),
+        .groupBy(*by, "column", "zone", F.when(F.col("inside"), F.col("value")).alias("at"))
+        .agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("largest"))
     )
-
-    def rank(share: float):
-        return (F.col("total") - 1) * F.lit(share)
-
-    wanted = F.lit(False)
-    for share in shares.values():
-        low, high = F.floor(rank(share)), F.ceil(rank(share))
-        wanted = wanted | ((F.col("before") <= high) & (F.col("before") + F.col("in_bucket") > low))
-    needed = placed.where(wanted).drop("in_bucket")
-
-    in_bucket = Window.partitionBy(*group, "bucket").orderBy("value").rowsBetween(*RUNNING)
-    keys = [*group, "bucket"]
-    condition = [F.col(f"c.{name}").eqNullSafe(F.col(f"k.{name}")) for name in keys]
+    group = [*by, "column"]
+    upto = Window.partitionBy(*group).orderBy("zone", "at").rowsBetween(*RUNNING)
     ranked = (
-        counts.alias("c")
-        .join(needed.alias("k"), condition)
-        .select(*[F.col(f"c.{name}") for name in keys], "value", "n", "before", "total")
-        .withColumn("stop", F.col("before") + F.sum("n").over(in_bucket))
+        counts.withColumn("stop", F.sum("n").over(upto))
         .withColumn("start", F.col("stop") - F.col("n"))
+        .withColumn("total", F.sum("n").over(Window.partitionBy(*group)))
     )
 
-    measures = []
-    for name, share in shares.items():
-        position = rank(share)
-
-        def at(place):
-            return F.max(F.when((F.col("start") <= place) & (place < F.col("stop")), F.col("value")))
+    def at(place: Column) -> Column:
+        # Between brackets only the ends are known, and only they can be next to a wanted rank.
+        end = F.when(F.col("start") == place, F.col("least")).when(F.col("stop") - 1 == place, F.col("largest"))
+        return F.max(F.when((F.col("start") <= place) & (place < F.col("stop")), F.coalesce("at", end)))
 
+    found = []
+    for name, share in shares.items():
+        position = (F.col("total") - 1) * F.lit(share)
         low, high = at(F.floor(position)), at(F.ceil(position))
         fraction = F.max(position - F.floor(position))
-        measures.append((low + (high - low) * fraction).alias(name))
-    return ranked.groupBy(*group).agg(*measures)
+        found.append((low + (high - low) * fraction).alias(name))
+    return first.drop("_bounds").join(ranked.groupBy(*group).agg(*found), group, "left")
+
+
+def exact_quantiles(
+    df: DataFrame, columns: Iterable[str], shares: dict[str, float], by: Iterable[str] = (), accuracy: int = ACCURACY
+) -> DataFrame:
+    """Linear-interpolated quantiles of the columns that have values: one row per (`by`, `column`).
+
+    `shares` maps result names to shares, e.g. {"median": 0.5}.
+    """
+    return quantile_profile(df, columns, shares, by, accuracy=accuracy).where("_present > 0").drop("_present")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickerloom.functions import fixed_values as fixed
 from tickerloom.operators import ordered
+from tickerloom.operators.quantiles import exact_quantiles
 
 YEAR = fixed.TRADING_DAYS_PER_YEAR
 INFINITE = float("inf")
@@ -109,13 +110,11 @@ def performance_metrics(
 def value_at_risk(returns: DataFrame, value: str = "equity_return", by: Iterable[str] = ("strategy",)) -> DataFrame:
     """5 % and 1 % quantiles (linear) of daily returns and the means at or below them.
 
-    One row per strategy and day, so the exact quantile's buffer is bounded.
+    The quantiles are exact, from a sketch and a counting pass.
     """
     by = list(by)
     present = returns.where(F.col(value).isNotNull())
-    limits = present.groupBy(*by).agg(
-        F.percentile(value, F.lit(0.05)).alias("var_95"), F.percentile(value, F.lit(0.01)).alias("var_99")
-    )
+    limits = exact_quantiles(present, [value], {"var_95": 0.05, "var_99": 0.01}, by).drop("column")
     tails = present.join(limits, by)
     x = F.col(value)
     return tails.groupBy(*by).agg(
