@@ -26,15 +26,15 @@ VOCABULARY_SQL = f"""SELECT term, sum(n)::BIGINT AS occurrences, count(*) AS doc
   ORDER BY occurrences DESC, term LIMIT 1000"""
 
 
-def fitted_tfidf(t):
-    return text_vectors.fit_tfidf(t.documents, "text", "doc_id", stop_words=fixed.ENGLISH_STOP_WORDS)
+def term_histograms(t) -> DataFrame:
+    return text_vectors.histograms(t.documents, "text", "doc_id", fixed.ENGLISH_STOP_WORDS)
 
 
-query("tfidf_vocabulary", "", VOCABULARY_SQL)(
-    lambda t: text_vectors.vocabulary(
-        text_vectors.terms(t.documents, "text", fixed.ENGLISH_STOP_WORDS), "doc_id"
-    )
-)
+def fitted_tfidf(t, counted: DataFrame | None = None):
+    return text_vectors.fit_tfidf(t.documents, "text", "doc_id", stop_words=fixed.ENGLISH_STOP_WORDS, counted=counted)
+
+
+query("tfidf_vocabulary", "", VOCABULARY_SQL)(lambda t: text_vectors.vocabulary(term_histograms(t)))
 
 query(
     "tfidf_weights",
@@ -42,7 +42,13 @@ query(
     f"""WITH c AS (SELECT doc_id, term, count(*) AS n FROM ({TERMS_SQL}) GROUP BY doc_id, term),
           w AS (SELECT c.doc_id, c.term, n * (ln((1 + (SELECT count(*) FROM documents)) / (1 + documents)) + 1) AS x FROM c JOIN ({VOCABULARY_SQL}) v ON v.term = c.term)
         SELECT doc_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS weight FROM w""",
-)(lambda t: text_vectors.tfidf_weights(t.documents, fitted_tfidf(t), "text", "doc_id"))
+)(lambda t: weights_of(t))
+
+
+def weights_of(t) -> DataFrame:
+    counted = term_histograms(t)
+    return text_vectors.tfidf_weights(t.documents, fitted_tfidf(t, counted), "text", "doc_id", counted)
+
 
 COMPONENTS = 50
 

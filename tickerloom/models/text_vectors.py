@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import (
     PCA,
     CountVectorizerModel,
@@ -16,9 +21,12 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from tickerloom.session import materialize
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
+HISTOGRAM_ROWS = 256
 
 
 def terms(df: DataFrame, column: str, stop_words: list[str] | None = None, name: str = "terms") -> DataFrame:
@@ -35,11 +43,49 @@ def terms(df: DataFrame, column: str, stop_words: list[str] | None = None, name:
     )
 
 
-def vocabulary(termed: DataFrame, key: str, max_features: int = 1000, min_documents: int = 2) -> DataFrame:
-    """The most frequent terms found in enough documents, with their document counts."""
-    counts = termed.select(key, F.explode("terms").alias("term")).groupBy(key, "term").agg(F.count("*").alias("n"))
+def histograms(df: DataFrame, column: str, key: str, stop_words: list[str] | None = None) -> DataFrame:
+    """The key of every row with its distinct terms (`terms`) and how often each occurs (`counts`), stored.
+
+    Words and pairs are those of `terms`. A row's terms are counted where the row is, so its
+    text is split once for the vocabulary and the weights, and never leaves its task as (row, term) rows.
+    """
+    stops = frozenset(stop_words if stop_words is not None else StopWordsRemover.loadDefaultStopWords("english"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        words = regex.compile(TOKEN)
+        for batch in batches:
+            for at in range(0, batch.num_rows, HISTOGRAM_ROWS):
+                part = batch.slice(at, HISTOGRAM_ROWS)
+                found = []
+                for text in part.column(1).to_pylist():
+                    kept = [word for word in words.findall((text or "").lower()) if word not in stops]
+                    count = Counter(kept)
+                    count.update(map(" ".join, zip(kept, kept[1:])))
+                    found.append(count)
+                offsets = np.concatenate([[0], np.cumsum([len(c) for c in found])]).astype(np.int32)
+                names = pa.array([term for c in found for term in c], pa.string())
+                numbers = pa.array([n for c in found for n in c.values()], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.ListArray.from_arrays(offsets, names), pa.ListArray.from_arrays(offsets, numbers)],
+                    names=[key, "terms", "counts"],
+                )
+
+    narrow = df.select(key, F.col(column).cast("string").alias("_text"))
+    counted = narrow.mapInArrow(run, f"`{key}` {dict(df.dtypes)[key]}, terms array<string>, counts array<int>")
+    return materialize(counted)
+
+
+def vocabulary(counted: DataFrame, max_features: int = 1000, min_documents: int = 2) -> DataFrame:
+    """The most frequent terms found in enough documents, with their document counts.
+
+    Each row of `histograms` names a term once, so both counts are sums that reduce before the shuffle.
+    """
     return (
-        counts.groupBy("term")
+        counted.select(F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("counts").alias("n"))))
+        .toDF("term", "n")
+        .groupBy("term")
         .agg(F.sum("n").alias("occurrences"), F.count("*").alias("documents"))
         .where(F.col("documents") >= min_documents)
         .orderBy(F.desc("occurrences"), "term")
@@ -73,23 +119,39 @@ def fit_tfidf(
     max_features: int = 1000,
     min_documents: int = 2,
     stop_words: list[str] | None = None,
+    counted: DataFrame | None = None,
 ) -> TfIdf:
-    chosen = vocabulary(terms(df, column, stop_words), key, max_features, min_documents).collect()
+    """`counted` takes the table of `histograms` if there is one already."""
+    counted = counted if counted is not None else histograms(df, column, key, stop_words)
+    chosen = vocabulary(counted, max_features, min_documents).collect()
     chosen.sort(key=lambda row: row["term"])
-    return TfIdf([r["term"] for r in chosen], [r["documents"] for r in chosen], df.count(), stop_words)
+    return TfIdf([r["term"] for r in chosen], [r["documents"] for r in chosen], counted.count(), stop_words)
 
 
-def tfidf_weights(df: DataFrame, model: TfIdf, column: str, key: str) -> DataFrame:
-    """Non-zero weights as rows (key, term, weight).
+def tfidf_weights(df: DataFrame, model: TfIdf, column: str, key: str, counted: DataFrame | None = None) -> DataFrame:
+    """Non-zero weights as rows (key, term, weight), a document per row of `df`.
 
-    Terms are counted per key and meet the vocabulary (at most `max_features` rows) in a
-    join, so a document costs its own terms and not the whole vocabulary.
+    A row's histogram meets the vocabulary (at most `max_features` terms) in its task, so nothing is shuffled.
     """
-    chosen = df.sparkSession.createDataFrame(list(zip(model.terms, model.weights)), "term string, idf double")
-    found = terms(df, column, model.stop_words).select(key, F.explode("terms").alias("term"))
-    counted = found.join(chosen, "term").groupBy(key, "term").agg((F.count("*") * F.first("idf")).alias("x"))
-    length = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy(key)))
-    return counted.select(key, "term", (F.col("x") / length).alias("weight"))
+    counted = counted if counted is not None else histograms(df, column, key, model.stop_words)
+    names, idf = model.terms, model.weights
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, scale = pa.array(names, pa.string()), np.array(idf, dtype=float)
+        for batch in batches:
+            lists = batch.column(1)
+            place = pc.index_in(lists.flatten(), value_set=known)
+            chosen = place.is_valid().to_numpy(zero_copy_only=False)
+            place = place.drop_null().to_numpy()
+            rows = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())[chosen]
+            x = batch.column(2).flatten().to_numpy()[chosen] * scale[place]
+            length = np.sqrt(np.bincount(rows, x * x, minlength=len(lists)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(rows)), known.take(pa.array(place)), pa.array(x / length[rows])],
+                names=[key, "term", "weight"],
+            )
+
+    return counted.mapInArrow(run, f"`{key}` {dict(counted.dtypes)[key]}, term string, weight double")
 
 
 def with_components(vectors: DataFrame, model: TfIdf, components: int = 50, column: str = "tfidf") -> DataFrame:
