@@ -57,14 +57,15 @@ query(
 @query(
     "normalise_bars",
     "",
-    "SELECT date, 'Brand#11' AS ticker, open, high, low, close, volume FROM bars WHERE ticker = 'Brand#11'",
+    "SELECT date, ticker, open, high, low, close, volume FROM bars",
 )
 def normalise_bars(t):
-    provider = t.bars.where(F.col("ticker") == "Brand#11").select(
+    provider = t.bars.select(
+        F.col("ticker").alias("Symbol"),
         F.col("date").cast("timestamp").alias("Date"),
         *[F.col(name).alias(name.title()) for name in ("open", "high", "low", "close", "volume")],
     )
-    return files.normalise_bars(provider, "Brand#11")
+    return files.normalise_bars(provider, F.col("Symbol"))
 
 
 @query(

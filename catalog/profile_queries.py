@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import functools
+
+from pyspark.sql import DataFrame, functions as F
 
 from catalog import sql_text as q
 from catalog.cleaning_queries import MERGED, RETURNS
@@ -137,12 +139,13 @@ query(
 )
 
 HS = daily_news.HEADLINE_SCORES
+CS = ["content_vader_compound", "content_textblob_polarity", "content_finbert_positive"]
 query(
     "daily_sentiment",
-    " ".join(f"{c}_{k}" for c in HS for k in ("mean", "std", "min", "max")) + " content_vader_compound_mean",
+    " ".join(f"{c}_{k}" for c in HS for k in ("mean", "std", "min", "max")) + " " + " ".join(f"{c}_mean" for c in CS),
     f"""SELECT ticker, CAST(timestamp AS DATE) AS date, count(headline) AS article_count,
           {', '.join(f'avg({e}) AS {c}_mean, coalesce(stddev_samp({e}), 0) AS {c}_std, min({e}) AS {c}_min, max({e}) AS {c}_max' for c, e in zip(HS, ('length(headline) % 7 / 7', 'length(headline) % 5 / 5', 'length(headline) % 3 / 3')))},
-          avg(length(content) % 7 / 7) AS content_vader_compound_mean FROM news GROUP BY 1, 2""",
+          {', '.join(f'avg(length(content) % {d} / {d}) AS {c}_mean' for c, d in zip(CS, (7, 5, 3)))} FROM news GROUP BY 1, 2""",
 )(
     lambda t: daily_news.daily_sentiment(
         t.news.select(
@@ -150,9 +153,9 @@ query(
             F.to_date("timestamp").alias("date"),
             "headline",
             *[(F.length("headline") % d / F.lit(float(d))).alias(c) for c, d in zip(HS, (7, 5, 3))],
-            (F.length("content") % 7 / F.lit(7.0)).alias("content_vader_compound"),
+            *[(F.length("content") % d / F.lit(float(d))).alias(c) for c, d in zip(CS, (7, 5, 3))],
         ),
-        content_scores=["content_vader_compound"],
+        content_scores=CS,
     )
 )
 
@@ -454,18 +457,21 @@ query(
     ).select("ticker", "date", "close_scaled", "volume_scaled", "sma_20_scaled")
 )
 
-query(
+@query(
     "scale_splits",
     "scaled_close scaled_volume",
     """WITH d AS (SELECT date, row_number() OVER (ORDER BY date) AS n, count(*) OVER () AS c FROM (SELECT DISTINCT date FROM bars)),
          s AS (SELECT avg(close) AS a, stddev_pop(close) AS b, avg(volume) AS v, stddev_pop(volume) AS w FROM bars JOIN d ON d.date = bars.date WHERE n <= floor(c * 0.7::DOUBLE))
-       SELECT ticker, bars.date, (close - a) / b AS scaled_close, (volume - v) / w AS scaled_volume FROM bars JOIN d ON d.date = bars.date, s
-       WHERE n > floor(c * (0.7::DOUBLE + 0.15::DOUBLE))""",
-)(
-    lambda t: splits.scale_splits(splits.split_by_date(t.bars), ["close", "volume"])["test"].select(
-        "ticker", "date", F.col("close").alias("scaled_close"), F.col("volume").alias("scaled_volume")
-    )
+       SELECT ticker, bars.date, CASE WHEN n <= floor(c * 0.7::DOUBLE) THEN 'train' WHEN n <= floor(c * (0.7::DOUBLE + 0.15::DOUBLE)) THEN 'val' ELSE 'test' END AS split,
+         (close - a) / b AS scaled_close, (volume - v) / w AS scaled_volume FROM bars JOIN d ON d.date = bars.date, s""",
 )
+def scaled_splits(t):
+    """All three splits, scaled by the train split."""
+    parts = [
+        df.select("ticker", "date", F.lit(name).alias("split"), F.col("close").alias("scaled_close"), F.col("volume").alias("scaled_volume"))
+        for name, df in splits.scale_splits(splits.split_by_date(t.bars), ["close", "volume"]).items()
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 query(
     "class_weights",

@@ -180,27 +180,35 @@ query(
     )
 )
 
-TECHNICAL_SQL = f"""SELECT ticker, date, sma_20, close / sma_50 - 1 AS price_vs_sma_50, volatility_10d, high_low_ratio_5d,
-    CASE WHEN l > 0 THEN 100 - 100 / (1 + g / l) WHEN g > 0 THEN 100 END AS rsi_14,
-    4 * s20 / sma_20 AS bb_width, (close - (sma_20 - 2 * s20)) / (4 * s20) AS bb_position, volume / v10 AS volume_ratio,
-    c3 AS price_change_3d, coalesce(high = h20, false)::INT AS is_new_high_20d
-  FROM (SELECT *, {roll('avg', 'close', 20)} AS sma_20, {roll('avg', 'close', 50)} AS sma_50,
-      {roll('stddev_samp', 'daily_return', 10)} AS volatility_10d, {roll('avg', 'sp', 5)} AS high_low_ratio_5d,
-      {roll('avg', 'gain', 14)} AS g, {roll('avg', 'loss', 14)} AS l, {roll('stddev_samp', 'close', 20)} AS s20,
-      {roll('avg', 'volume', 10)} AS v10, close / {lag('close', 3)} - 1 AS c3, {roll('max', 'high', 20)} AS h20
-    FROM (SELECT *, (high - low) / close AS sp, CASE WHEN d > 0 THEN d ELSE 0 END AS gain,
-        CASE WHEN d < 0 THEN -d ELSE 0 END AS loss
-      FROM (SELECT *, close - {lag('close', 1)} AS d FROM ({RETURNS}))))"""
-query(
-    "technical_features",
-    "sma_20:4 price_vs_sma_50 volatility_10d high_low_ratio_5d rsi_14:5 bb_width bb_position volume_ratio price_change_3d",
-    TECHNICAL_SQL,
-)(
-    lambda t: technical.technical_features(t.returns).select(
-        "ticker", "date", "sma_20", "price_vs_sma_50", "volatility_10d", "high_low_ratio_5d", "rsi_14", "bb_width",
-        "bb_position", "volume_ratio", "price_change_3d", "is_new_high_20d",
-    )
+SPANS = (*SMA, 12, 26)
+TECHNICAL_SQL = f"""WITH e AS MATERIALIZED ({ema_sql(SPANS, 'bars', 'close')}),
+    g AS MATERIALIZED ({ema_sql((9,), '(SELECT ticker, date, ema_12 - ema_26 AS macd FROM e)', 'macd')}),
+    w AS (SELECT *, {', '.join(f"{roll('avg', 'close', n)} AS sma_{n}" for n in SMA)},
+        {', '.join(f"{roll('stddev_samp', 'daily_return', n)} AS volatility_{n}d, {roll('avg', 'sp', n)} AS high_low_ratio_{n}d" for n in (5, 10, 20))},
+        {', '.join(f"close / {lag('close', n)} - 1 AS price_change_{n}d" for n in (1, 3, 5))},
+        {roll('avg', 'gain', 14)} AS g, {roll('avg', 'loss', 14)} AS l, {roll('stddev_samp', 'close', 20)} AS s20,
+        {roll('avg', 'volume', 10)} AS volume_sma_10,
+        coalesce(high = {roll('max', 'high', 20)}, false)::INT AS is_new_high_20d, coalesce(low = {roll('min', 'low', 20)}, false)::INT AS is_new_low_20d
+      FROM (SELECT *, (high - low) / close AS sp, CASE WHEN d > 0 THEN d ELSE 0 END AS gain, CASE WHEN d < 0 THEN -d ELSE 0 END AS loss
+        FROM (SELECT *, close - {lag('close', 1)} AS d FROM ({RETURNS}))))
+  SELECT w.* EXCLUDE (sp, d, gain, loss, g, l, s20), {', '.join(f'ema_{n}' for n in SMA)},
+    {', '.join(f'w.close / sma_{n} - 1 AS price_vs_sma_{n}' for n in SMA)},
+    CASE WHEN w.l > 0 THEN 100 - 100 / (1 + w.g / w.l) WHEN w.g > 0 THEN 100 END AS rsi_14,
+    sma_20 + 2 * s20 AS bb_upper, sma_20 - 2 * s20 AS bb_lower, 4 * s20 / sma_20 AS bb_width, (w.close - (sma_20 - 2 * s20)) / (4 * s20) AS bb_position,
+    w.volume / volume_sma_10 AS volume_ratio, w.close * w.volume AS price_volume,
+    macd, ema_9 AS macd_signal, macd - ema_9 AS macd_histogram
+  FROM w JOIN e ON e.ticker = w.ticker AND e.date = w.date JOIN g ON g.ticker = w.ticker AND g.date = w.date"""
+PRICE_SIZED = [*[f"{kind}_{n}:4" for kind in ("sma", "ema") for n in SMA], *"macd:4 macd_signal:4 macd_histogram:4 bb_upper:4 bb_lower:4 price_volume:2 rsi_14:5".split()]
+TECHNICAL_DOUBLES = " ".join(
+    [
+        *PRICE_SIZED,
+        "daily_return volume_sma_10 volume_ratio bb_width bb_position",
+        *[f"price_vs_sma_{n}" for n in SMA],
+        *[f"{kind}_{n}d" for kind in ("volatility", "high_low_ratio") for n in (5, 10, 20)],
+        *[f"price_change_{n}d" for n in (1, 3, 5)],
+    ]
 )
+query("technical_features", TECHNICAL_DOUBLES, TECHNICAL_SQL)(lambda t: technical.technical_features(t.returns))
 
 query(
     "returns_and_features",
@@ -330,15 +338,15 @@ def median60(value: str) -> str:
 
 query(
     "market_regime_features",
-    "trend_strength_10d trend_strength_20d",
-    f"""WITH v AS (SELECT *, {roll('stddev_samp', 'daily_return', 5)} AS v5, {roll('stddev_samp', 'daily_return', 20)} AS v20,
-            {roll('avg', 'close', 10)} AS s10, {roll('avg', 'close', 20)} AS s20, row_number() OVER ({W}) AS rn FROM ({RETURNS})),
-          m AS (SELECT *, {median60('v5')} AS m5, {median60('v20')} AS m20, {roll('stddev_samp', 'daily_return', 60, 30)} AS d60,
-            (close - s10) / s10 AS g10, (close - s20) / s20 AS g20,
+    "trend_strength_10d trend_strength_20d trend_strength_50d",
+    f"""WITH v AS (SELECT *, {', '.join(f"{roll('stddev_samp', 'daily_return', n)} AS v{n}" for n in (5, 10, 20))},
+            {', '.join(f"{roll('avg', 'close', n)} AS s{n}" for n in (10, 20, 50))}, row_number() OVER ({W}) AS rn FROM ({RETURNS})),
+          m AS (SELECT *, {', '.join(f"{median60(f'v{n}')} AS m{n}" for n in (5, 10, 20))}, {roll('stddev_samp', 'daily_return', 60, 30)} AS d60,
+            {', '.join(f"(close - s{n}) / s{n} AS g{n}" for n in (10, 20, 50))},
             rn - row_number() OVER (PARTITION BY ticker, daily_return < 0 ORDER BY date) AS island FROM v)
-        SELECT ticker, date, coalesce(v5 > 1.5 * m5, false)::INT AS high_vol_regime_5d, coalesce(v5 < 0.5 * m5, false)::INT AS low_vol_regime_5d,
-          coalesce(v20 > 1.5 * m20, false)::INT AS high_vol_regime_20d, coalesce(v20 < 0.5 * m20, false)::INT AS low_vol_regime_20d,
-          {roll('stddev_samp', 'g10', 10)} AS trend_strength_10d, {roll('stddev_samp', 'g20', 20)} AS trend_strength_20d,
+        SELECT ticker, date,
+          {', '.join(f"coalesce(v{n} > 1.5 * m{n}, false)::INT AS high_vol_regime_{n}d, coalesce(v{n} < 0.5 * m{n}, false)::INT AS low_vol_regime_{n}d" for n in (5, 10, 20))},
+          {', '.join(f"{roll('stddev_samp', f'g{n}', n)} AS trend_strength_{n}d" for n in (10, 20, 50))},
           CASE WHEN daily_return < 0 THEN row_number() OVER (PARTITION BY ticker, daily_return < 0, island ORDER BY date) ELSE 0 END::INT
             AS consecutive_down_days,
           coalesce(abs(daily_return) > 2 * d60, false)::INT AS large_move_indicator FROM m""",
@@ -346,15 +354,13 @@ query(
     lambda t: technical.market_regime_features(
         t.returns.withColumns(
             {
-                "volatility_5d": rolling(F.stddev_samp, "daily_return", 5),
-                "volatility_20d": rolling(F.stddev_samp, "daily_return", 20),
-                "sma_10": rolling(F.avg, "close", 10),
-                "sma_20": rolling(F.avg, "close", 20),
+                **{f"volatility_{n}d": rolling(F.stddev_samp, "daily_return", n) for n in (5, 10, 20)},
+                **{f"sma_{n}": rolling(F.avg, "close", n) for n in (10, 20, 50)},
             }
         )
     ).select(
-        "ticker", "date", "high_vol_regime_5d", "low_vol_regime_5d", "high_vol_regime_20d", "low_vol_regime_20d",
-        "trend_strength_10d", "trend_strength_20d", "consecutive_down_days", "large_move_indicator",
+        "ticker", "date", *[f"{side}_vol_regime_{n}d" for n in (5, 10, 20) for side in ("high", "low")],
+        *[f"trend_strength_{n}d" for n in (10, 20, 50)], "consecutive_down_days", "large_move_indicator",
     )
 )
 
@@ -379,17 +385,14 @@ query(
     )
 )
 
-query(
-    "temporal_features",
-    "month_sin month_cos day_of_week_sin day_of_week_cos",
-    """SELECT ticker, date, year(date)::INT AS year, month(date)::INT AS month, quarter(date)::INT AS quarter,
+ORACLE_TEMPORAL = """SELECT ticker, date, year(date)::INT AS year, month(date)::INT AS month, quarter(date)::INT AS quarter,
          (isodow(date) - 1)::INT AS day_of_week, day(date)::INT AS day_of_month, weekofyear(date)::INT AS week_of_year,
          (isodow(date) = 1)::INT AS is_monday, (isodow(date) = 5)::INT AS is_friday, (date = last_day(date))::INT AS is_month_end,
          (day(date) = 1)::INT AS is_month_start, (date = last_day(date) AND month(date) IN (3, 6, 9, 12))::INT AS is_quarter_end,
          sin(2 * pi() * month(date) / 12) AS month_sin, cos(2 * pi() * month(date) / 12) AS month_cos,
          sin(2 * pi() * (isodow(date) - 1) / 7) AS day_of_week_sin, cos(2 * pi() * (isodow(date) - 1) / 7) AS day_of_week_cos,
-         date_diff('day', (SELECT min(date) FROM bars), date)::INT AS days_since_start FROM bars""",
-)(lambda t: panel_features.temporal_features(t.bars.select("ticker", "date")))
+         date_diff('day', (SELECT min(date) FROM bars), date)::INT AS days_since_start FROM bars"""
+query("temporal_features", "month_sin month_cos day_of_week_sin day_of_week_cos", ORACLE_TEMPORAL)(lambda t: panel_features.temporal_features(t.bars.select("ticker", "date")))
 
 query(
     "market_calendar_features",
@@ -584,24 +587,46 @@ query(
     ).select("event_id", *[f"vader_value_{s}" for s in groupstats.STATISTICS])
 )
 
+# The composite sentiment is one value a row, so a group's mean, median, least and largest are that value.
+GROUP_VALUES = {"mean": "c", "median": "c", "std": "NULL::DOUBLE", "min": "c", "max": "c", "skew": "NULL::DOUBLE"}
+SENTIMENT_VALUES = {"composite_sentiment": "c", **{f"composite_sentiment_{k}": v for k, v in GROUP_VALUES.items()}}
+SENTIMENT_LAGS = {
+    f"{name}_lag_{n}": "NULL::DOUBLE" if value.startswith("NULL") else lag(value, n) for name, value in SENTIMENT_VALUES.items() for n in (1, 3, 5)
+}
+MOMENTS = {
+    f"{name}_rolling_{kind}_{n}": roll(function, value, n)
+    for name, value in (("daily_return", "daily_return"), ("composite_sentiment", "c"))
+    for n in (3, 5, 10)
+    for kind, function in (("mean", "avg"), ("std", "stddev_samp"))
+}
+ADDED = {
+    **SENTIMENT_VALUES,
+    **SENTIMENT_LAGS,
+    **{f"return_lag_{n}": lag("daily_return", n) for n in (1, 2, 3, 5)},
+    **{f"volume_ratio_lag_{n}": lag("volume_ratio", n) for n in (1, 3)},
+    **MOMENTS,
+    **{f"target_return_{n}d": f"{lead('close', n)} / close - 1" for n in (1, 3)},
+    **{f"target_volatility_{n}d": ahead_std(n) for n in (3, 5)},
+    "sentiment_volume_interaction": "c * volume_ratio",
+    "sentiment_volatility_interaction": "c * volatility_5d",
+    "sentiment_bull_market": "c * coalesce(close > sma_20, false)::INT",
+    "sentiment_bear_market": "c * (1 - coalesce(close > sma_20, false)::INT)",
+}
+STRENGTHS = [name for name in ADDED if "composite_sentiment" in name]
+ALL_SQL = f"""WITH t AS MATERIALIZED ({TECHNICAL_SQL}),
+    a AS (SELECT *, {', '.join(f'{value} AS {name}' for name, value in ADDED.items())}, coalesce(close > sma_20, false)::INT AS market_regime,
+      {', '.join(f"coalesce({lead('close', n)} / close - 1 > 0, false)::INT AS target_direction_{n}d" for n in (1, 3))},
+      {', '.join(f"CASE WHEN {lead('close', n)} / close - 1 > 0.005 THEN 2 WHEN {lead('close', n)} / close - 1 < -0.005 THEN 0 ELSE 1 END AS target_multiclass_{n}d" for n in (1, 3))}
+      FROM (SELECT *, (close - open) / close AS c FROM t))
+  SELECT a.* EXCLUDE (c), {', '.join(f'abs({name}) AS {name}_strength' for name in STRENGTHS)}, m.* EXCLUDE (ticker, date)
+  FROM a JOIN ({ORACLE_TEMPORAL}) m ON m.ticker = a.ticker AND m.date = a.date"""
 query(
     "all_features",
-    "sma_50:4 volatility_20d macd_histogram:4 month_sin composite_sentiment_mean composite_sentiment_lag_3 "
-    "composite_sentiment_min_lag_1 target_return_1d target_volatility_5d sentiment_bear_market composite_sentiment_max_strength",
-    f"""SELECT ticker, date, {roll('avg', 'close', 50)} AS sma_50, {roll('stddev_samp', 'daily_return', 20)} AS volatility_20d,
-          macd - ema_9 AS macd_histogram, sin(2 * pi() * month(date) / 12) AS month_sin, c AS composite_sentiment_mean,
-          {lag('c', 3)} AS composite_sentiment_lag_3, {lag('c', 1)} AS composite_sentiment_min_lag_1,
-          {lead('close', 1)} / close - 1 AS target_return_1d, {ahead_std(5)} AS target_volatility_5d,
-          c * (1 - coalesce(close > {roll('avg', 'close', 20)}, false)::INT) AS sentiment_bear_market, abs(c) AS composite_sentiment_max_strength
-        FROM (SELECT b.*, m.macd, m.ema_9, (b.close - b.open) / b.close AS c FROM ({RETURNS}) b
-          JOIN ({ema_sql((9,), f'({MACD_LINE})', 'macd')}) m ON m.ticker = b.ticker AND m.date = b.date)""",
+    " ".join([TECHNICAL_DOUBLES, *ADDED, *[f"{name}_strength" for name in STRENGTHS], "month_sin month_cos day_of_week_sin day_of_week_cos"]),
+    ALL_SQL,
 )(
     lambda t: panel_features.all_features(
         t.returns.withColumn("composite_sentiment", (F.col("close") - F.col("open")) / F.col("close"))
-    ).select(
-        "ticker", "date", "sma_50", "volatility_20d", "macd_histogram", "month_sin", "composite_sentiment_mean",
-        "composite_sentiment_lag_3", "composite_sentiment_min_lag_1", "target_return_1d", "target_volatility_5d",
-        "sentiment_bear_market", "composite_sentiment_max_strength",
     )
 )
 

@@ -10,21 +10,27 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickerloom.models import training
 from tickerloom.operators import cleaning, daily_news, merge, metrics, panel_features, profile, scoring, splits, technical
 from tickerloom.session import materialize
-from tickerloom.sources import sinks
+from tickerloom.sources import files, sinks
 
 
 BAR_ORDER = ("open", "high", "low", "close", "volume")
 
 
 def merged_panel(
-    news: DataFrame, bars: DataFrame, order: Iterable[str], bar_order: Iterable[str] = BAR_ORDER
+    news: DataFrame,
+    bars: DataFrame,
+    order: Iterable[str],
+    bar_order: Iterable[str] = BAR_ORDER,
+    factories: Iterable[scoring.ScorerFactory] = (),
 ) -> DataFrame:
     """Cleaned news joined onto bars with returns, then validity and outlier filters.
 
     Of several bars of a ticker and day the first by `bar_order` counts; every window over a
-    ticker rests on that. Keyword sentiment comes from the articles' counts, so the daily
-    texts need not exist.
+    ticker rests on that. Keyword sentiment comes from the articles' counts; with `factories` the
+    days' texts are scored as well, in ordered parts (see `scored_days`), and the panel has all
+    scores and their composite.
     """
+    order, factories = list(order), list(factories)
     bars = cleaning.keep_first(bars, ["ticker", "date"], bar_order)
     cleaned = cleaning.clean_news(news, order)
     articles = daily_news.with_trading_date(daily_news.prepare_articles(cleaned))
@@ -32,20 +38,56 @@ def merged_panel(
     keywords = daily_news.daily_keywords(articles)
     daily = stats.join(keywords, ["ticker", "trading_date"])
     priced = technical.with_returns(bars)
-    panel = merge.attach_daily_news(priced, daily)
-    counts = ("finance_positive_count", "finance_negative_count", "finance_sentiment_ratio")
-    return cleaning.clean_and_validate(panel.na.fill(0, subset=list(counts)))
+    filled = ["finance_positive_count", "finance_negative_count", "finance_sentiment_ratio"]
+    if factories:
+        daily = daily.join(scored_days(cleaned, order, factories), ["ticker", "trading_date"], "left")
+        filled += scoring.EXTERNAL_SCORES
+    panel = merge.attach_daily_news(priced, daily).na.fill(0, subset=filled)
+    if factories:
+        inputs = ("vader_compound", "textblob_polarity", "finbert_positive", "finbert_negative", "finance_sentiment_ratio")
+        panel = panel.withColumn("composite_sentiment", scoring.sentiment.composite_sentiment(*map(F.col, inputs)))
+    return cleaning.clean_and_validate(panel)
+
+
+def scored_days(articles: DataFrame, order: Iterable[str], factories: Iterable[scoring.ScorerFactory]) -> DataFrame:
+    """Scores of every ticker-day's text, from its ordered parts.
+
+    A day's text is scored part by part and the scores are averaged by the parts' lengths, so a day of any
+    size is never one string; a day of one part, which is any ordinary day, has its text's own scores.
+    """
+    parts = daily_news.daily_text(articles, order)
+    scored = scoring.external_scores(parts, "combined_text", factories)
+    length = F.greatest(F.length("combined_text"), F.lit(1))
+    return scored.groupBy("ticker", "trading_date").agg(
+        *[(F.sum(F.col(name) * length) / F.sum(length)).alias(name) for name in scoring.EXTERNAL_SCORES]
+    )
+
+
+def panel_job(spark: SparkSession, news_folder: str, bars_path: str, folder: str, order: Iterable[str], suffix: str = ".parquet") -> DataFrame:
+    """Files to panel: reads and checks both tables, merges them, stores the panel in order with its summaries."""
+    news = files.read_news(spark, news_folder, suffix)
+    bars = files.read_bars(spark, bars_path)
+    path = f"{folder}/merged_panel.parquet"
+    sinks.write_panel(merged_panel(news, bars, order), path)
+    stored = spark.read.parquet(path)
+    sinks.write_table(profile.dataset_summary(stored), f"{folder}/data_summary.json", "json")
+    sinks.write_table(profile.price_summary(stored), f"{folder}/price_summary.parquet", order=("ticker",))
+    return stored
 
 
 def with_sentiment(panel: DataFrame, factories: Iterable[scoring.ScorerFactory] = ()) -> DataFrame:
     """Sentiment columns, unless the panel has them.
 
-    From `combined_text` where the panel carries it, else from its keyword ratio.
+    From `combined_text` where the panel carries it, else from the days' scores (`merged_panel` with
+    scorers) and its keyword ratio. Scorers for a panel that carries neither are an error.
     """
+    factories = list(factories)
     if cleaning.sentiment_columns(panel):
         return panel
     if "combined_text" in panel.columns:
         return scoring.analyze_dataframe(panel, "combined_text", factories)
+    if factories:
+        raise ValueError("the panel has no text to score: give the scorers to merged_panel")
     if "finance_sentiment_ratio" in panel.columns:
         zero = F.lit(0.0)
         composite = scoring.sentiment.composite_sentiment(zero, zero, zero, zero, F.col("finance_sentiment_ratio"))
@@ -85,7 +127,7 @@ def feature_job(
     scored_path = f"{folder}/data_with_sentiment.parquet"
     sinks.write_table(with_sentiment(panel, factories), scored_path)
     features = feature_panel(spark.read.parquet(scored_path), **options)
-    sinks.write_table(features, f"{folder}/features.parquet")
+    sinks.write_panel(features, f"{folder}/features.parquet")
     stored = spark.read.parquet(f"{folder}/features.parquet")
     sinks.write_table(profile.feature_metadata(stored), f"{folder}/feature_metadata", "csv")
     return stored

@@ -62,10 +62,13 @@ def read_bars(spark: SparkSession, path: str) -> DataFrame:
     return require_columns(read_table(spark, path, schemas.BARS), schemas.REQUIRED_BARS)
 
 
-def read_panel(spark: SparkSession, path: str) -> DataFrame:
-    """A feature panel: `date`, `ticker` and at least one `target_` column."""
+def read_panel(spark: SparkSession, path: str, labels: Iterable[str] = ()) -> DataFrame:
+    """A feature panel: `date`, `ticker` and at least one `target_` column. `labels` are text columns of a CSV file."""
     if path.rstrip("/").endswith(".csv"):
-        panel = spark.read.csv(path, header=True, inferSchema=True)
+        # Names come from the header line; all but the keys and labels are numbers.
+        text = spark.read.csv(path, header=True)
+        keys = (*schemas.REQUIRED_PANEL, *labels)
+        panel = text.withColumns({n: F.col(n).try_cast("double") for n in text.columns if n not in keys})
     else:
         panel = spark.read.parquet(path)
     require_columns(panel, schemas.REQUIRED_PANEL)
@@ -96,10 +99,10 @@ def in_range(date: Column, start: str | None = None, end: str | None = None) ->
     return condition
 
 
-def normalise_bars(raw: DataFrame, ticker: str) -> DataFrame:
-    """Provider bars (Date, Open, High, ...) in the stored layout."""
+def normalise_bars(raw: DataFrame, ticker: str | Column) -> DataFrame:
+    """Provider bars (Date, Open, High, ...) in the stored layout; the ticker is a name or a column of many tickers' bars."""
     return raw.select(
         F.to_date("Date").alias("date"),
-        F.lit(ticker).alias("ticker"),
+        (ticker if isinstance(ticker, Column) else F.lit(ticker)).alias("ticker"),
         *[F.col(name).cast("double").alias(name.lower()) for name in ("Open", "High", "Low", "Close", "Volume")],
     )
