@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from catalog.cleaning_queries import RETURNS
 from catalog.registry import query
 from catalog.sql_text import quoted
-from catalog.window_queries import roll
+from catalog.window_queries import TECHNICAL_SQL, W, roll
 from tickerloom.functions import fixed_values as fixed
 from tickerloom.functions.numeric import rolling
 from tickerloom.models import text_vectors, training
@@ -174,7 +174,18 @@ def soft_vote(t):
     )
 
 
-@query("selected_features")
+# Analysis of variance: spread between the classes' means against the spread within, per feature.
+FEATURE_SQL = f"""SELECT ticker, date, coalesce(lag(daily_return, 1) OVER ({W}), 0) AS return_lag_1, coalesce(lag(daily_return, 2) OVER ({W}), 0) AS return_lag_2,
+    coalesce(volatility_5d, 0) AS volatility_5d, coalesce(volume_ratio, 0) AS volume_ratio, coalesce(price_vs_sma_5, 0) AS price_vs_sma_5, coalesce(rsi_14, 0) AS rsi_14,
+    coalesce(lead(close, 1) OVER ({W}) / close - 1 > 0, false)::INT AS y FROM ({TECHNICAL_SQL})"""
+SELECTED_SQL = f"""WITH f AS MATERIALIZED ({FEATURE_SQL}),
+    c AS ({' UNION ALL '.join(f"SELECT '{name}' AS feature, y, count(*) AS n, avg({name}) AS m, var_pop({name}) * count(*) AS within FROM f GROUP BY y" for name in FEATURES)}),
+    a AS (SELECT feature, sum(n) AS total, count(*) AS k, sum(n * m) / sum(n) AS mean, sum(within) AS within FROM c GROUP BY feature)
+  SELECT feature FROM (SELECT a.feature, (sum(c.n * (c.m - a.mean) * (c.m - a.mean)) / (any_value(k) - 1)) / (any_value(a.within) / (any_value(total) - any_value(k))) AS score
+    FROM c JOIN a ON a.feature = c.feature GROUP BY a.feature) ORDER BY score DESC LIMIT 3"""
+
+
+@query("selected_features", "", SELECTED_SQL)
 def selected_features(t):
     rows = training.prepare_data(feature_table(t), TARGET, FEATURES)
     chosen = training.select_features(rows, TARGET, FEATURES, 3)
@@ -189,14 +200,11 @@ def backtest_model(t):
     return evaluation.report_lines(evaluation.backtest_model(model, parts["test"]), model.name)
 
 
-FEATURE_COLUMNS = "composite_sentiment close volatility_20d rsi_14 return_lag_5 target_return_1d"
-
-
-@query("feature_job", "composite_sentiment volatility_20d:5 rsi_14:4 return_lag_5 target_return_1d")
+@query("feature_job", "*")
 def feature_job(t):
     """The panel of cleaned news and bars, all features, gaps filled."""
     panel = jobs.with_sentiment(jobs.merged_panel(t.news, t.bars, ["doc_id"]))
-    return jobs.feature_panel(panel).select("ticker", "date", *FEATURE_COLUMNS.split())
+    return jobs.feature_panel(panel)
 
 
 @query("feature_families")

@@ -129,12 +129,17 @@ query(
     )
 )
 
+CONTENT_KEYWORDS = f"""SELECT doc_id, content, {q.hits('content', fixed.POSITIVE_FINANCE_WORDS)} AS p,
+  {q.hits('content', fixed.NEGATIVE_FINANCE_WORDS)} AS n FROM news"""
 query(
     "content_sentiment",
-    "content_vader_compound content_composite_sentiment",
+    "content_vader_compound content_textblob_polarity content_finbert_positive content_composite_sentiment",
+    f"""SELECT doc_id, length(content) % 7 / 7 AS content_vader_compound, length(content) % 5 / 5 AS content_textblob_polarity,
+          length(content) % 3 / 3 AS content_finbert_positive,
+          {PLUGGED.format(c='content', ratio=q.ratio('p', 'n'))} AS content_composite_sentiment FROM ({CONTENT_KEYWORDS})""",
 )(
     lambda t: scoring.content_sentiment(scoring.headline_sentiment(t.news, [length_scorer]), [length_scorer]).select(
-        "doc_id", "content_vader_compound", "content_composite_sentiment"
+        "doc_id", *[f"content_{name}" for name in scoring.CONTENT_SCORES]
     )
 )
 
@@ -480,6 +485,9 @@ query(
        FROM labels GROUP BY quality""",
 )(lambda t: splits.class_weights(t.read("labels"), "quality"))
 
-query("stratified_folds")(
-    lambda t: splits.with_stratified_fold(t.read("labels"), "quality", ["doc_id"]).groupBy("quality", "fold").count()
-)
+query(
+    "stratified_folds",
+    "",
+    """WITH h AS (SELECT doc_id, quality, md5(doc_id::VARCHAR || '|42') AS h FROM labels)
+       SELECT doc_id, quality, ((row_number() OVER (PARTITION BY quality, substr(h, 1, 3) ORDER BY h, doc_id) + ('0x' || substr(h, 1, 3))::INT) % 5)::INT AS fold FROM h""",
+)(lambda t: splits.with_stratified_fold(t.read("labels").select("doc_id", "quality"), "quality", ["doc_id"]))

@@ -17,13 +17,15 @@ EXACT = {"open", "high", "low", "close", "volume"}
 
 
 def parse_digits(doubles: str) -> dict[str, int]:
-    """'a b:2' -> {'a': 6, 'b': 2}."""
+    """'a b:2' -> {'a': 6, 'b': 2}; '*' stands for all doubles of a query without SQL."""
     pairs = [item.partition(":") for item in doubles.split()]
     return {name: int(digits or 6) for name, _, digits in pairs}
 
 
 def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
     kinds = dict(df.dtypes)
+    if "*" in digits:
+        digits = {name: digits["*"] for name, kind in kinds.items() if kind == "double" and name not in EXACT}
     missing = ({n for n, kind in kinds.items() if kind in ("double", "float")} - EXACT) ^ set(digits)
     if missing:
         raise ValueError(f"double columns and rounding differ in {sorted(missing)}")

@@ -161,8 +161,8 @@ def with_stratified_fold(df: DataFrame, label: str, keys: Iterable[str], folds:
     Rows are dealt within hash buckets of a class, so no task orders a whole class; fold
     sizes per class differ by at most one row per bucket.
     """
-    order = F.xxhash64(*keys, F.lit(seed))
-    bucket = F.pmod(order, F.lit(4096))
+    order = F.md5(F.concat_ws("|", *[F.col(key).cast("string") for key in keys], F.lit(str(seed))).cast("binary"))
+    bucket = F.conv(F.substring(order, 1, 3), 16, 10).cast("int")
     dealt = F.row_number().over(Window.partitionBy(label, "_bucket").orderBy("_order", *keys))
     return (
         df.withColumns({"_order": order, "_bucket": bucket})
