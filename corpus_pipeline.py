@@ -15,6 +15,7 @@ from tickerloom.llm.pii import find_personal_data
 from tickerloom.llm.quality_lines import clean_lines
 from tickerloom.llm.simhash import near_duplicates
 from tickerloom.llm.template_leaks import leaks
+from tickerloom.operators.cleaning import keep_first
 
 # Rows depend on trained weights and tokenizer files, which SQL cannot express.
 ORACLE_SQL = None
@@ -22,22 +23,43 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that pass the rules, without their failing lines."""
-    kept = clean_lines(docs).where("kept").withColumn("n_clean_", F.length("clean_text").cast("long"))
+    kept = clean_lines(docs).where("kept")
     changed = F.col("clean_text") != F.coalesce(F.col("text"), F.lit(""))
     columns = {"text": F.col("clean_text")}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(changed, F.col("n_clean_")).otherwise(F.col("n_chars"))
+        columns["n_chars"] = F.when(changed, F.length("clean_text").cast("long")).otherwise(F.col("n_chars"))
     return kept.withColumns(columns).select(*docs.columns)
 
 
+def _one_row_per_text(docs: DataFrame) -> DataFrame:
+    """`docs` with a number in place of each doc_id: one per (doc_id, text), in that order; rows equal in both become one."""
+    rest = [name for name in docs.columns if name not in ("doc_id", "text")]
+    alone = keep_first(docs, ["doc_id", "text"], rest or ["doc_id"])
+    digests = {"d1": F.xxhash64("text"), "d2": F.xxhash64(F.lit("second"), "text")}
+    keys = alone.select("doc_id", *[c.alias(n) for n, c in digests.items()]).distinct()
+    # Sorted ranges number their rows upwards; the numbers are written down before they are used.
+    ranged = keys.repartitionByRange("doc_id", "d1", "d2").sortWithinPartitions("doc_id", "d1", "d2")
+    numbered = stored(ranged.withColumn("number", F.monotonically_increasing_id()), "numbers")
+    found = alone.select(F.struct(*docs.columns).alias("row"), "doc_id", *[c.alias(n) for n, c in digests.items()])
+    return found.join(numbered, ["doc_id", "d1", "d2"]).select("row", F.col("number").alias("doc_id"), F.col("row.text").alias("text"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate group; rows without a doc_id stay."""
-    groups = near_duplicates(docs.select("doc_id", "text"))
-    first = stored(groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "kept")
-    kept = docs.join(first, "doc_id", "left_semi")
-    if not docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    """The document with the smallest doc_id of each near-duplicate group; rows without a doc_id stay.
+
+    Rows that repeat doc_id and text become one, the first by the other columns. Different texts under
+    one doc_id are documents of their own. Only the ids that go are joined: a few per cent of all,
+    broadcast as far as adaptive execution finds them small.
+    """
+    named = docs.where("doc_id IS NOT NULL")
+    repeated = named.groupBy("doc_id").count().where("count > 1")
+    rows = named.select("doc_id", "text") if repeated.isEmpty() else stored(_one_row_per_text(named), "rows")
+    groups = near_duplicates(rows.select("doc_id", "text"))
+    dropped = stored(groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "dropped")
+    if "row" not in rows.columns:
+        return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    kept = rows.join(dropped, "doc_id", "left_anti").select(*[F.col("row").getField(name).alias(name) for name in docs.columns])
+    return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
