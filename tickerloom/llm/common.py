@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -38,6 +38,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """`name`, with underscores behind it until no column of `taken` has it (in any case)."""
+    used = {column.lower() for column in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -182,18 +182,20 @@ def _mapped(df: DataFrame, source: str, target: str, kind, convert) -> DataFrame
     """`df` with `target` made from `source` by a per-value function, in Arrow batches."""
     ship(df.sparkSession)
     rest = [name for name in df.columns if name != target]
-    narrow = df.select(*rest).withColumn("source_", F.col(source))
-    schema = df.select(*rest).withColumn(target, F.lit(None).cast(kind)).schema
+    # Other columns travel as one struct, so that none can be taken for the source.
+    narrow = df.select(F.struct(*rest).alias("row"), F.col(source).alias("source"))
+    schema = narrow.select("row", F.lit(None).cast(kind).alias("target")).schema
     arrow = pa.binary() if isinstance(kind, BinaryType) else pa.string()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(at, BATCH_ROWS)
-                values = pa.array(convert(part.column(part.num_columns - 1).to_pylist()), type=arrow)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], values], names=[*rest, target])
+                values = pa.array(convert(part.column(1).to_pylist()), type=arrow)
+                yield pa.RecordBatch.from_arrays([part.column(0), values], names=["row", "target"])
 
-    return narrow.mapInArrow(run, schema)
+    mapped = narrow.mapInArrow(run, schema)
+    return mapped.select(*[F.col("row").getField(name).alias(name) for name in rest], F.col("target").alias(target))
 
 
 def encode_documents(docs: DataFrame, model_path: str, column: str = "text") -> DataFrame:

@@ -343,24 +343,26 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     new = [part.split()[0] for part in ADDED.split(", ")]
     rest = [name for name in docs.columns if name not in new]
-    narrow = docs.select(*rest).withColumn("source_", F.col("text").cast("string"))
-    schema = docs.select(*rest, *[F.lit(None).cast(p.split()[1]).alias(p.split()[0]) for p in ADDED.split(", ")]).schema
+    # Other columns travel as one struct, so that none can be taken for the text.
+    narrow = docs.select(F.struct(*rest).alias("row"), F.col("text").cast("string").alias("text"))
+    schema = narrow.select("row", *[F.lit(None).cast(p.split()[1]).alias(p.split()[0]) for p in ADDED.split(", ")]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(at, BATCH_ROWS)
-                texts = [t or "" for t in part.column(part.num_columns - 1).to_pylist()]
+                texts = [t or "" for t in part.column(1).to_pylist()]
                 spans = all_spans(texts)
                 counts = [pa.array([sum(s.kind == k for s in base) for base, _ in spans], pa.int64()) for k in range(4)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *part.columns[:-1], *counts,
+                        part.column(0), *counts,
                         pa.array([listed(base) for base, _ in spans], pa.string()),
                         pa.array([listed(every) for _, every in spans], pa.string()),
                         pa.array([redacted(t, every) for t, (_, every) in zip(texts, spans)], pa.string()),
                     ],
-                    names=[*rest, *new],
+                    names=["row", *new],
                 )
 
-    return narrow.mapInArrow(run, schema)
+    found = narrow.mapInArrow(run, schema)
+    return found.select(*[F.col("row").getField(name).alias(name) for name in rest], *new)

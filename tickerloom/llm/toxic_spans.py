@@ -2,9 +2,9 @@
 
 Token labels come from the labelled documents: a word is labelled toxic in a toxic
 document if it is far more frequent in toxic training texts than in others and its own
-counts would be rare by chance: the Chernoff bound of its toxic count, times the number of
-words tested, is at most LABEL_CHANCE. Word counts cover all distinct training texts, copies count
-once, and so do places of a word among the same four neighbours (edited copies). The CRF is trained on windows of a bounded sample of whole distinct labelled
+counts would be rare by chance: the Chernoff bound of its toxic count passes Benjamini and
+Hochberg's rule over all words tested, with a share of FALSE_SHARE expected to be wrong. Word counts cover all distinct training texts, copies count
+once, and so do places of a word among the same four neighbours (edited copies). The CRF is trained on all stretches with candidate words in a bounded sample of whole distinct labelled
 texts (SAMPLE_DOCUMENTS per class, in hash order). Its features are a bias, the
 identity of candidate words (high odds, chance at most CANDIDATE_CHANCE) and one that all
 words labelled toxic share, so that rare ones outside the sample have its weight. All other words share
@@ -34,20 +34,26 @@ WORD = re.compile(r"[^\W\d_]+")
 BATCH_ROWS = 256
 SAMPLE_DOCUMENTS = 1500
 WINDOW_WORDS = 16
-WINDOWS_PER_DOCUMENT = 2
 MIN_DOCUMENTS = 3
 MIN_ODDS = 3.0
-LABEL_CHANCE = 0.01
+FALSE_SHARE = 0.01
 CANDIDATE_CHANCE = 1.0
 ROUNDS, PENALTY = 80, 0.02
 FLOOR = 1e-7
 
 
+def words_of(text: str) -> list[str]:
+    """Lower-cased words. Each word is lowered by itself, as some letters lower to several code points."""
+    if text.isascii():
+        return WORD.findall(text.lower())
+    return [word.lower() for word in WORD.findall(text)]
+
+
 def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, BATCH_ROWS):
             part = batch.slice(at, BATCH_ROWS)
-            words = [sorted(set(WORD.findall((t or "").lower()))) for t in part.column(1).to_pylist()]
+            words = [sorted(set(words_of(t or ""))) for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words, pa.list_(pa.string()))], names=["label", "words"])
 
 
@@ -58,7 +64,7 @@ def _places_of(wanted: set[str]):
         for batch in batches:
             rows = []
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = WORD.findall((text or "").lower())
+                words = words_of(text or "")
                 seen = set()
                 for i, word in enumerate(words):
                     if word in wanted and word not in seen:
@@ -105,12 +111,20 @@ def candidate_words(texts: DataFrame) -> dict[str, bool]:
     places = texts.select("label", "text").mapInArrow(_places_of(first), "label int, word string, place long").distinct()
     rows = significant(places.groupBy("word").agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
                        .where(F.col("toxic") >= MIN_DOCUMENTS)).collect()
-    return {row["word"]: row["lead"] >= -math.log(LABEL_CHANCE) for row in sorted(rows)}
+    # Benjamini and Hochberg's step-up rule over all words tested: the k-th most significant word counts
+    # if its chance, times the words tested, is at most k times the share of false ones allowed.
+    ranked = sorted(rows, key=lambda row: (-row["lead"], row["word"]))
+    labelled = max((k for k, row in enumerate(ranked, 1) if -row["lead"] <= math.log(FALSE_SHARE * k)), default=0)
+    toxic = {row["word"] for row in ranked[:labelled]}
+    return {row["word"]: row["word"] in toxic for row in sorted(rows)}
 
 
 class ToxicTagger:
-    def __init__(self, labelled: DataFrame):
-        texts = stored(labelled.select("label", "text").distinct(), "toxictexts")
+    """`labelled` has columns label and text; `distinct` says that it holds each pair once."""
+
+    def __init__(self, labelled: DataFrame, distinct: bool = False):
+        texts = labelled.select("label", "text")
+        texts = stored(texts if distinct else texts.distinct(), "toxictexts")
         self.candidates = candidate_words(texts)
         self.numbers = {word: 3 + i for i, word in enumerate(self.candidates)}
         self.slope, self.shift = 1.0, 0.0
@@ -123,17 +137,27 @@ class ToxicTagger:
     def sample(texts: DataFrame) -> list[tuple[int, list[str]]]:
         """Label and words of whole texts, at most SAMPLE_DOCUMENTS per class."""
         found = []
-        for label in (0, 1):
-            rows = texts.where(F.col("label") == label).orderBy(F.xxhash64("text"), "text").select("text")
-            found += [(label, WORD.findall((row["text"] or "").lower())) for row in rows.limit(SAMPLE_DOCUMENTS).collect()]
+        sizes = {row["label"]: row["count"] for row in texts.groupBy("label").count().collect()}
+        place = F.shiftrightunsigned(F.xxhash64("text"), 11) / float(1 << 53)
+        for label, size in sorted(sizes.items()):
+            own = texts.where(F.col("label") == label).withColumn("place", place)
+            # The first texts in hash order lie below a share of the hashes; only they leave their tasks.
+            share, rows = 1.25 * (SAMPLE_DOCUMENTS + 50) / size, []
+            while len(rows) < min(SAMPLE_DOCUMENTS, size):
+                rows = own.where(F.col("place") < share).select("place", "text").collect()
+                share *= 2
+            first = sorted((row["place"], row["text"] or "") for row in rows)[:SAMPLE_DOCUMENTS]
+            found += [(label, words_of(text)) for _, text in first]
         return found
 
     def train(self, documents: list[tuple[int, list[str]]]) -> None:
         features, tags = [], []
         for label, words in documents:
-            hits = [i for i, w in enumerate(words) if label and self.candidates.get(w)][:WINDOWS_PER_DOCUMENT]
-            for hit in hits or [len(words) // 2]:
-                part = words[max(0, hit - WINDOW_WORDS // 2) : hit + WINDOW_WORDS // 2]
+            # Every stretch of WINDOW_WORDS words with a candidate, in texts of both classes. All other words are
+            # alike to the model, so a text without candidates is told by one stretch.
+            held = sorted({i // WINDOW_WORDS for i, w in enumerate(words) if w in self.candidates})
+            for block in held or [len(words) // 2 // WINDOW_WORDS]:
+                part = words[block * WINDOW_WORDS : (block + 1) * WINDOW_WORDS]
                 if part:
                     features.append([[1, 2 * bool(self.candidates.get(w)), self.numbers.get(w, 0)] for w in part])
                     tags.append([int(bool(label and self.candidates.get(w))) for w in part])
@@ -169,7 +193,15 @@ class ToxicTagger:
     def run_of(self, length: int) -> np.ndarray:
         """The transition over `length` words without weight, up to a factor."""
         step = self.move * np.array([1.0, self.background])
-        return np.linalg.matrix_power(step / step.max(), min(length, 4096)) if length else np.eye(2)
+        # Repeated squaring, scaled at every step: no length leaves the range of doubles.
+        total, step = np.eye(2), step / step.max()
+        while length:
+            if length & 1:
+                total = total @ step
+                total = total / total.max()
+            step = step @ step
+            step, length = step / step.max(), length >> 1
+        return total
 
     def marginals(self, words: list[str]) -> list[tuple[int, float]]:
         """Position and probability of the toxic tag for every candidate word, by forward-backward."""
@@ -198,23 +230,34 @@ class ToxicTagger:
 
     def score(self, text: str) -> tuple[float, float, list[int], list[int]]:
         """Score, expected toxic words, and the start and end offsets of words with a marginal of a half or more."""
-        lowered = text.lower() if len(text.lower()) == len(text) else text
-        found = self.marginals(WORD.findall(lowered))
+        found = self.marginals(words_of(text))
         top = max((p for _, p in found), default=0.0)
         hits = {i for i, p in found if p >= 0.5}
-        places = [m.span() for k, m in enumerate(WORD.finditer(lowered)) if k in hits] if hits else []
+        places = [m.span() for k, m in enumerate(WORD.finditer(text)) if k in hits] if hits else []
         score = 1 / (1 + np.exp(-np.clip(self.slope * self.log_odds(top) + self.shift, -30, 30)))
         return float(score), float(sum(p for _, p in found)), [a for a, _ in places], [b for _, b in places]
 
 
+def distinct_labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """label and text of every distinct labelled text, that of the smallest doc_id (rows that repeat id and text stay).
+
+    Which rows those are is found on ids and digests; texts then go through one shuffle, the same at every size.
+    """
+    text = F.coalesce("text", F.lit(""))
+    digests = [F.xxhash64(text).alias("d1"), F.xxhash64(F.lit("second"), text).alias("d2")]
+    keys = docs.where("doc_id IS NOT NULL").select("doc_id", *digests).join(labels, "doc_id")
+    first = stored(keys.groupBy("label", "d1", "d2").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "label", "d1", "d2"), "toxicfirst")
+    marked = docs.select("doc_id", text.alias("text"), *digests)
+    return marked.join(first.hint("shuffle_hash"), ["doc_id", "d1", "d2"]).select("label", "text")
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """doc_id, held_out, score, predicted, expected_words, starts, ends per row of `docs`."""
     spark = docs.sparkSession
     ship(spark)
     training = labels_by_document(labels, "toxic").where(~is_held_out(F.col("doc_id")))
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    labelled = stored(narrow.join(training, "doc_id"), "toxiclabelled")
-    tagger = ToxicTagger(labelled)
+    tagger = ToxicTagger(distinct_labelled(narrow, training), distinct=True)
     shared = spark.sparkContext.broadcast(tagger)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

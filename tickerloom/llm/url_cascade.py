@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickerloom.llm.bits import BitTable, build
-from tickerloom.llm.common import let, stored
+from tickerloom.llm.common import fresh, let, stored
 
 MAX_LEVELS = 64
 LATER_BITS, LATER_PROBES = 8, 3
@@ -110,8 +110,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     parsed = with_host_path(pages)
     if not lengths:
         return parsed.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
-    with_keys = parsed.withColumn("keys_", candidate_keys(F.col("host"), F.col("path"), lengths))
-    universe = with_keys.select(F.explode("keys_").alias("key"))
+    keys = fresh("keys_", parsed.columns)
+    with_keys = parsed.withColumn(keys, candidate_keys(F.col("host"), F.col("path"), lengths))
+    universe = with_keys.select(F.explode(keys).alias("key"))
     others = universe.agg(F.approx_count_distinct("key")).first()[0]
     all_rules = build_cascade(listed.select("key"), universe, others)
     blocked = listed.where(F.col("verdict") == "block").select("key")
@@ -121,6 +122,6 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
         found = F.transform(keys, lambda key: F.struct(F.length(key).alias("n"), key.alias("key")))
         return F.array_max(found)["key"]
 
-    ruled = with_keys.withColumn("rule", let(F.filter("keys_", all_rules.holds), longest))
+    ruled = with_keys.withColumn("rule", let(F.filter(keys, all_rules.holds), longest))
     verdict = F.when(F.col("rule").isNull(), F.lit(default)).when(block_rules.holds(F.col("rule")), "block").otherwise("allow")
-    return ruled.withColumn("verdict", verdict).drop("keys_")
+    return ruled.withColumn("verdict", verdict).drop(keys)
