@@ -73,6 +73,25 @@ class Crf:
             best[:, t - 1] = np.take_along_axis(came[:, t], best[:, t, None].astype(np.int64), 1)[:, 0]
         return np.where(mask, best, 0)
 
+    def decode_rising(self, emission: np.ndarray, lengths: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """`decode` of rows whose lengths (one or more) do not fall; each step touches the rows that reach it only."""
+        rows, steps, tags = emission.shape
+        best = np.zeros((rows, steps), dtype=np.int16)
+        came = np.zeros((steps, rows, tags), dtype=np.int8)
+        score = start + emission[:, 0]
+        reach = np.searchsorted(lengths, np.arange(steps), side="right").tolist()
+        for t in range(1, steps):
+            r = reach[t]
+            reached = score[r:, :, None] + self.pair
+            came[t, r:] = reached.argmax(axis=1)
+            score[r:] = reached.max(axis=1) + emission[r:, t]
+        best[np.arange(rows), lengths - 1] = (score + end).argmax(axis=1)
+        every = np.arange(rows)
+        for t in range(steps - 1, 0, -1):
+            r = reach[t]
+            best[r:, t - 1] = came[t, every[r:], best[r:, t]]
+        return best
+
     def fit(self, features: np.ndarray, mask: np.ndarray, tags: np.ndarray, rounds: int, penalty: float, rate: float = 0.5):
         """Penalised maximum likelihood by full-batch AdaGrad; feature 0 keeps weight 0."""
         rows, steps, width = features.shape

@@ -24,8 +24,9 @@ from tickerloom.llm.common import ship
 from tickerloom.llm.crf import Crf, padded
 
 KINDS = ("email", "ip", "card", "phone")
-BATCH_ROWS = 256
-BLOCK_WORDS = 100_000
+BATCH_ROWS = 512
+BLOCK_WORDS = 250_000
+KNOWN_WORDS = 1 << 18
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -223,18 +224,49 @@ def feature_scores(word: str | None) -> np.ndarray:
     return np.concatenate([model.unary[[numbers.get(f, 0) for f in part]].sum(axis=0) for part in parts])
 
 
-def word_scores(word: str) -> np.ndarray:
-    """`feature_scores`; but for cues and hex words, which letters and digits a word has does not matter."""
-    return feature_scores(word if ":" in word or CUES.match(word) else word.translate(LIKE))
+def score_form(word: str) -> str:
+    """A word with the same `feature_scores`: but for cues and hex words, which letters and digits a word has does not matter."""
+    return word if ":" in word or CUES.match(word) else word.translate(LIKE)
+
+
+class Vocabulary(dict):
+    """Words to rows of a table of `feature_scores`, kept from batch to batch; forgotten as a whole when it is full."""
+
+    def __init__(self):
+        super().__init__()
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.forms: dict[str, int] = {}
+        self.table = np.zeros((1024, 3 * len(trained()[1].first)))
+
+    def __missing__(self, word: str) -> int:
+        form = score_form(word)
+        row = self.forms.get(form)
+        if row is None:
+            row = self.forms[form] = len(self.forms)
+            if row == len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.table[row] = feature_scores(form)
+        self[word] = row
+        return row
+
+
+@lru_cache(maxsize=1)
+def vocabulary() -> Vocabulary:
+    return Vocabulary()
 
 
 def line_tags(words: list[str], lengths: list[int]) -> np.ndarray:
     """The tag of every word; `lengths` are the numbers of words of the lines."""
     model = trained()[1]
     n, n_tags = len(words), len(model.first)
-    ids: dict[str, int] = {}
-    codes = np.fromiter((ids.setdefault(w, len(ids)) for w in words), dtype=np.int64, count=n)
-    own, after, before = np.split(np.stack([word_scores(w) for w in ids]), 3, axis=1)
+    known = vocabulary()
+    if len(known) > KNOWN_WORDS:
+        known.forget()
+    codes = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=n)
+    own, after, before = np.split(known.table[: len(known.forms)], 3, axis=1)
     edge = feature_scores(None)
     ends = np.cumsum(lengths)
     first, last = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
@@ -260,7 +292,7 @@ def line_tags(words: list[str], lengths: list[int]) -> np.ndarray:
         mask = index < z[:, None]
         start_scores = np.where(first[a, None], model.first, model.pair[0])
         end_scores = np.where(last[z - 1, None], 0.0, model.pair[:, 0])
-        best = model.decode(emission[np.minimum(index, n - 1)], mask, start_scores, end_scores)
+        best = model.decode_rising(emission[np.minimum(index, n - 1)], z - a, start_scores, end_scores)
         tags[index[mask]] = best[mask]
         at = upto
     return tags
