@@ -24,9 +24,9 @@ from tickerloom.llm.common import ship
 from tickerloom.llm.crf import Crf, padded
 
 KINDS = ("email", "ip", "card", "phone")
-BATCH_ROWS = 512
-BLOCK_WORDS = 250_000
-KNOWN_WORDS = 1 << 18
+BATCH_ROWS = 256
+BLOCK_WORDS = 150_000
+KNOWN_WORDS = 1 << 17
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -150,7 +150,7 @@ def shape(word: str) -> str:
     return re.sub(r"[^\x00-\x7f]+", "u", re.sub(r"[0-9]", "9", runs))
 
 
-@lru_cache(maxsize=50_000)
+@lru_cache(maxsize=4096)
 def word_features(word: str) -> tuple[str, ...]:
     """Shape, coarse shape, digits, marks and cue of a word."""
     core = word.strip(".,;:!?\"'")
@@ -214,7 +214,7 @@ def plausible(kind: int, text: str) -> bool:
     return 9 <= digits <= 15 and bool(re.search(r"[0-9)][ .-]+[0-9(]", text))
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=1024)
 def feature_scores(word: str | None) -> np.ndarray:
     """Tag scores a word's features give itself, the word after it and the word before it; None is a line's edge."""
     numbers, model = trained()

@@ -99,8 +99,9 @@ def clean_lines(docs: DataFrame, max_lost_share: float = MAX_LOST_SHARE) -> Data
     )
     none = F.array().cast("array<bigint>")
     # Other columns travel as one struct beside the text and the columns made here.
-    row = F.struct(*docs.columns).alias("row_")
-    split = docs.select(row, F.col("text")).withColumns({"words_": words_of(text), "lines_": F.split(text, "\n")})
+    others = [name for name in docs.columns if name != "text"]
+    row = F.struct(*others) if others else F.lit(None).cast("struct<none:int>")
+    split = docs.select(row.alias("row_"), F.col("text")).withColumns({"words_": words_of(text), "lines_": F.split(text, "\n")})
     hashed = split.withColumn("hashes_", F.when(F.size(w) < 3, none).otherwise(windows))
     sorted_ = hashed.withColumns(
         {
@@ -128,6 +129,6 @@ def clean_lines(docs: DataFrame, max_lost_share: float = MAX_LOST_SHARE) -> Data
     # An outer explode of one struct: a filter on the results stays above it, instead of being
     # pushed down to the scan with a copy of every expression it needs.
     rest = [name for name in docs.columns if name not in RESULTS]
-    return verdict.select("row_", F.explode_outer(F.array(F.struct(*RESULTS))).alias("result_")).select(
-        *[F.col("row_").getField(name).alias(name) for name in rest], *[F.col("result_")[name].alias(name) for name in RESULTS]
+    return verdict.select("row_", "text", F.explode_outer(F.array(F.struct(*RESULTS))).alias("result_")).select(
+        *[F.col("text") if name == "text" else F.col("row_").getField(name).alias(name) for name in rest], *[F.col("result_")[name].alias(name) for name in RESULTS]
     )
