@@ -182,8 +182,9 @@ def _mapped(df: DataFrame, source: str, target: str, kind, convert) -> DataFrame
     """`df` with `target` made from `source` by a per-value function, in Arrow batches."""
     ship(df.sparkSession)
     rest = [name for name in df.columns if name != target]
-    # Other columns travel as one struct, so that none can be taken for the source.
-    narrow = df.select(F.struct(*rest).alias("row"), F.col(source).alias("source"))
+    place = rest.index(source)
+    # All columns travel as one struct, the source among them, so that no name can clash and no text goes twice.
+    narrow = df.select(F.struct(*rest).alias("row"))
     schema = narrow.select("row", F.lit(None).cast(kind).alias("target")).schema
     arrow = pa.binary() if isinstance(kind, BinaryType) else pa.string()
 
@@ -191,7 +192,7 @@ def _mapped(df: DataFrame, source: str, target: str, kind, convert) -> DataFrame
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(at, BATCH_ROWS)
-                values = pa.array(convert(part.column(1).to_pylist()), type=arrow)
+                values = pa.array(convert(part.column(0).field(place).to_pylist()), type=arrow)
                 yield pa.RecordBatch.from_arrays([part.column(0), values], names=["row", "target"])
 
     mapped = narrow.mapInArrow(run, schema)

@@ -375,15 +375,16 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     new = [part.split()[0] for part in ADDED.split(", ")]
     rest = [name for name in docs.columns if name not in new]
-    # Other columns travel as one struct, so that none can be taken for the text.
-    narrow = docs.select(F.struct(*rest).alias("row"), F.col("text").cast("string").alias("text"))
+    # All columns travel as one struct, the text among them, so that no name can clash and no text goes twice.
+    place = rest.index("text")
+    narrow = docs.withColumn("text", F.col("text").cast("string")).select(F.struct(*rest).alias("row"))
     schema = narrow.select("row", *[F.lit(None).cast(p.split()[1]).alias(p.split()[0]) for p in ADDED.split(", ")]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(at, BATCH_ROWS)
-                texts = [t or "" for t in part.column(1).to_pylist()]
+                texts = [t or "" for t in part.column(0).field(place).to_pylist()]
                 spans = all_spans(texts)
                 counts = [pa.array([sum(s.kind == k for s in base) for base, _ in spans], pa.int64()) for k in range(4)]
                 yield pa.RecordBatch.from_arrays(
@@ -395,6 +396,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
                     ],
                     names=["row", *new],
                 )
+        # The worker goes on to other stages: it need not keep this one's words.
+        vocabulary().forget()
 
     found = narrow.mapInArrow(run, schema)
     return found.select(*[F.col("row").getField(name).alias(name) for name in rest], *new)
