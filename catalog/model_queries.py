@@ -95,7 +95,7 @@ SMALL = {
     "random_forest": {"n_estimators": 10, "max_depth": 5},
     "gradient_boosting": {"n_estimators": 5, "max_depth": 3},
     "early_stopping_boosting": {"n_estimators": 5, "max_depth": 3},
-    "kernel_svm": {"dimension": 32, "max_iter": 20},
+    "kernel_svm": {},
     "neural_network": {"hidden": [8], "max_iter": 30},
 }
 METRIC_DOUBLES = (
@@ -147,14 +147,12 @@ def walk_forward(t):
     return training.walk_forward(rows, TARGET, FEATURES, "logistic_regression", 3, SMALL["logistic_regression"])
 
 
-@query("parameter_search", "score")
+@query("parameter_search", "score share")
 def parameter_search(t):
-    found = training.search(
-        prepared(t)["train"], TARGET, FEATURES, ["ticker", "date"], "random_forest", trials=2, folds=2,
-        fixed={"n_estimators": 5, "max_depth": 4},
-    )
-    rows = [(i + 1, str(sorted(trial["params"].items())), trial["score"]) for i, trial in enumerate(found)]
-    return t.spark.createDataFrame(rows, "rank int, params string, score double")
+    """Nine trials over the whole search space; the last one is trained on all rows."""
+    found = training.search(prepared(t)["train"], TARGET, FEATURES, ["ticker", "date"], "logistic_regression", trials=9)
+    rows = [(i + 1, str(sorted(trial["params"].items())), trial["score"], trial["rung"], trial["share"]) for i, trial in enumerate(found)]
+    return t.spark.createDataFrame(rows, "rank int, params string, score double, rung int, share double")
 
 
 @query("train_all_models", METRIC_DOUBLES)

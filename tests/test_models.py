@@ -5,7 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tickerloom.models import text_vectors, training
+from tickerloom.models import kernel, text_vectors, training
+from tickerloom.models.estimators import MODELS
 from tickerloom.operators import profile, splits
 from tickerloom.plans import evaluation
 
@@ -39,11 +40,87 @@ def test_forest_learns_and_is_stored(spark, table, tmp_path):
 
 
 def test_kernel_svm_bends_where_a_line_cannot(table):
-    svm = training.train(table, "y", FEATURES, "kernel_svm", {"dimension": 64, "max_iter": 30})
+    svm = training.train(table, "y", FEATURES, "kernel_svm", {"landmarks": 64, "max_iter": 30})
     line = training.train(table, "y", FEATURES, "logistic_regression")
     assert training.evaluate(svm, table).first()["accuracy"] > training.evaluate(line, table).first()["accuracy"] + 0.05
 
 
+def exact_margins(x, y, weights, gamma, rounds=200):
+    """Decision values of the weighted soft-margin RBF machine with a bias, by dual coordinate ascent."""
+    block = kernel.rbf(x, x, gamma) + 1
+    signs, alpha = 2.0 * y - 1, np.zeros(len(y))
+    margins = np.zeros(len(y))
+    for _ in range(rounds):
+        for i in range(len(y)):
+            step = np.clip(alpha[i] + (1 - signs[i] * margins[i]) / block[i, i], 0, weights[i]) - alpha[i]
+            alpha[i] += step
+            margins += step * signs[i] * block[i]
+    return margins
+
+
+def test_kernel_svm_decides_as_the_exact_machine(table):
+    rows = table.select("ticker", "date", "x", "z", "y").toPandas()
+    x, y = rows[["x", "z"]].to_numpy(), rows["y"].to_numpy()
+    scaled = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)
+    weights = len(y) / (2 * np.bincount(y))[y]
+    exact = exact_margins(scaled, y, weights, 0.5)
+    model = training.train(table, "y", FEATURES, "kernel_svm", {"landmarks": 80})
+    # The side of the margin; the probability is a logistic fit on top of it.
+    scored = model.pipeline.transform(training._assemble(table, FEATURES)).toPandas()
+    found = scored.set_index(["ticker", "date"])["kernel_svm_side"].loc[list(zip(rows["ticker"], rows["date"]))].to_numpy()
+    assert (found == (exact > 0)).mean() >= 0.95
+
+
+def test_landmarks_of_all_rows_give_the_kernel_itself():
+    draw = np.random.default_rng(3)
+    places, others = draw.normal(size=(30, 4)), draw.normal(size=(200, 4))
+    white = kernel.whitening(places, 0.25)
+    own = kernel.rbf(places, places, 0.25) @ white
+    assert np.allclose(own @ own.T, kernel.rbf(places, places, 0.25), atol=1e-8)
+    # Leverage prefers a lone row to one of many neighbours; a pool that is small enough is taken whole.
+    crowd = np.vstack([1e-3 * draw.normal(size=(199, 4)), np.full((1, 4), 9.0)])
+    score = kernel.leverages(kernel.rbf(crowd, crowd, 0.25), 2.0)
+    assert score.argmax() == 199 and score[:199].max() < 0.1
+    assert len(kernel.choose_landmarks(others, 500, 0.25, 1)) == 200 and len(kernel.choose_landmarks(others, 20, 0.25, 1)) == 20
+
+
+def test_landmarks_are_distinct_rows_and_stored(spark, table, tmp_path):
+    copies = table.unionByName(table.where("ticker = 'A'").limit(1).crossJoin(spark.range(2000)).drop("id"))
+    model = training.train(copies, "y", FEATURES, "kernel_svm", {"landmarks": 20, "max_iter": 5})
+    places = np.array(model.pipeline.stages[1].getOrDefault("landmarks")).reshape(-1, 2)
+    assert len(places) == 20 and len(np.unique(places, axis=0)) == 20
+    model.save(spark, str(tmp_path / "svm"))
+    again = training.load_model(spark, str(tmp_path / "svm")).predict(table)
+    name = "kernel_svm_probability"
+    first = {(r["ticker"], r["date"]): r[name] for r in model.predict(table).collect()}
+    assert all(abs(first[r["ticker"], r["date"]] - r[name]) < 1e-9 for r in again.collect())
+
+
+def test_rungs_end_with_one_trial_on_all_rows():
+    assert training.rungs(9, 3) == [(9, 1 / 9), (3, 1 / 3), (1, 1.0)]
+    assert training.rungs(1, 3) == [(1, 1.0)]
+    assert [count for count, _ in training.rungs(50, 3)] == [50, 17, 6, 2, 1]
+    with pytest.raises(ValueError):
+        training.rungs(0, 3)
+
+
+def test_search_finds_the_planted_parameters(table):
+    # A huge penalty predicts one class; a network without inputs to its hidden layer can't be built.
+    bad = [{"C": 1e-9, "max_iter": 5} for _ in range(4)]
+    found = training.search(
+        table, "up", FEATURES, ["ticker", "date"], "logistic_regression", trials=6, folds=2,
+        candidates=[*bad, {"C": -1.0, "max_iter": 5}, {"C": 10.0, "max_iter": 100}],
+    )
+    assert len(found) == 6 and found[0]["params"]["C"] == 10.0
+    assert found[0]["share"] == 1.0 and found[0]["score"] > 0.85 and found[-1]["rung"] == 0
+    failed = [trial for trial in found if trial["params"]["C"] < 0]
+    assert failed[0]["score"] is None and failed[0]["rung"] == 0
+
+
+def test_every_model_has_a_search_space():
+    assert all(model.space for model in MODELS.values())
+
+
 def test_early_stopping_needs_no_more_trees(table):
     rows = splits.with_tail_split(table)
     model = training.train(rows, "up", FEATURES, "early_stopping_boosting", {"n_estimators": 20, "max_depth": 2}, "is_validation")

@@ -8,10 +8,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
-import numpy as np
-import pandas as pd
-from pyspark import keyword_only
-from pyspark.ml import Estimator, Pipeline, Transformer
+from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
@@ -20,49 +17,10 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import StandardScaler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasInputCol, HasOutputCol, HasSeed
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DoubleType
 
-FEATURES = "features"
-
-
-class FourierFeatures(
-    Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable
-):
-    """Random Fourier features: a linear model on them approximates an RBF kernel.
-
-    Directions and phases follow from the seed, so nothing has to be fitted or shipped.
-    """
-
-    dimension = Param(Params._dummy(), "dimension", "number of features", TypeConverters.toInt)
-    gamma = Param(Params._dummy(), "gamma", "kernel width; 0 for 1/inputs", TypeConverters.toFloat)
-
-    @keyword_only
-    def __init__(self, *, inputCol=None, outputCol=None, dimension=256, gamma=0.0, seed=42):
-        super().__init__()
-        self._setDefault(dimension=256, gamma=0.0, seed=42)
-        self._set(**{name: value for name, value in self._input_kwargs.items() if value is not None})
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        size, gamma, seed = self.getOrDefault("dimension"), self.getOrDefault("gamma"), self.getOrDefault("seed")
+from tickerloom.models.kernel import Nystroem
 
-        @F.pandas_udf(ArrayType(DoubleType()))
-        def project(rows: pd.Series) -> pd.Series:
-            if rows.empty:
-                return rows
-            x = np.stack(rows.to_numpy())
-            width = gamma or 1.0 / x.shape[1]
-            draw = np.random.default_rng(seed)
-            directions = draw.normal(scale=math.sqrt(2 * width), size=(x.shape[1], size))
-            phases = draw.uniform(0, 2 * math.pi, size)
-            return pd.Series(list(np.cos(x @ directions + phases) * math.sqrt(2 / size)))
-
-        projected = project(vector_to_array(self.getInputCol()))
-        return df.withColumn(self.getOutputCol(), array_to_vector(projected))
+FEATURES = "features"
 
 
 # An estimator factory gets parameters, the row count, the feature count and the columns to write.
@@ -144,21 +102,29 @@ def _boosted(params: Mapping[str, Any], frame: Frame) -> Estimator:
 
 
 def _kernel_svm(params: Mapping[str, Any], frame: Frame) -> Estimator:
-    """Standardised inputs, Fourier features, a linear SVM and a logistic fit of its margin."""
+    """Standardised inputs, Nyström features, a linear SVM and a logistic fit of its margin.
+
+    The features are not scaled again: their length is the kernel's, which C weighs the loss against.
+    """
     prefix = frame.prefix
     return Pipeline(
         stages=[
             StandardScaler(withMean=True, inputCol=FEATURES, outputCol=f"{prefix}_scaled"),
-            FourierFeatures(
-                inputCol=f"{prefix}_scaled", outputCol=f"{prefix}_fourier", dimension=params["dimension"], seed=params["seed"]
+            Nystroem(
+                inputCol=f"{prefix}_scaled",
+                outputCol=f"{prefix}_kernel",
+                landmarks=params["landmarks"],
+                gamma=params["gamma"],
+                seed=params["seed"],
             ),
             LinearSVC(
-                featuresCol=f"{prefix}_fourier",
+                featuresCol=f"{prefix}_kernel",
                 labelCol=frame.label,
                 predictionCol=f"{prefix}_side",
                 rawPredictionCol=f"{prefix}_margin",
                 regParam=1 / (params["C"] * frame.rows),
                 maxIter=params["max_iter"],
+                standardization=False,
                 **frame.weights(),
             ),
             LogisticRegression(
@@ -231,7 +197,12 @@ MODELS = {
                 "colsample": lambda draw: draw.uniform(0.6, 1.0),
             },
         ),
-        Model("kernel_svm", {"C": 1.0, "dimension": 256, "max_iter": 100, "seed": 42}, _kernel_svm),
+        Model(
+            "kernel_svm",
+            {"C": 1.0, "landmarks": 256, "gamma": 0.0, "max_iter": 100, "seed": 42},
+            _kernel_svm,
+            {"C": _log_uniform(0.01, 100.0), "gamma": _log_uniform(0.001, 10.0)},
+        ),
         Model(
             "neural_network",
             {"hidden": [100], "max_iter": 500, "seed": 42},

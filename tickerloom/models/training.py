@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
+import math
 import random
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
@@ -197,19 +198,67 @@ def walk_forward_summary(results: DataFrame) -> DataFrame:
     )
 
 
+def rungs(trials: int, eta: int) -> list[tuple[int, float]]:
+    """Trials and share of the rows per rung of a halving: an `eta`-th stays each time, until one is left on all rows."""
+    if trials < 1 or eta < 2:
+        raise ValueError("a search takes one trial and a halving by two at least")
+    counts = [trials]
+    while counts[-1] > 1:
+        counts.append(math.ceil(counts[-1] / eta))
+    return [(count, float(eta) ** (at - len(counts) + 1)) for at, count in enumerate(counts)]
+
+
+def _fold_hits(folded: DataFrame, target: str, features: list[str], name: str, params: Mapping[str, Any], share: float, folds: int) -> DataFrame:
+    """One row per fold: rows and correct predictions of a model trained on that share of the other folds."""
+    parts = []
+    for fold in range(folds):
+        kept = folded.where((F.col("fold") != fold) & (F.col("_share") < share))
+        scored = train(kept, target, features, name, params).predict(folded.where(F.col("fold") == fold))
+        hit = F.col(f"{name}_prediction") == F.col(target)
+        parts.append(scored.agg(F.lit(fold).alias("fold"), F.count("*").alias("n"), F.count_if(hit).alias("hits")))
+    return _union(parts)
+
+
 def search(
     df: DataFrame, target: str, features: Iterable[str], keys: Iterable[str], name: str, trials: int = 50,
-    folds: int = 3, seed: int = 42, fixed: Mapping[str, Any] | None = None,
+    folds: int = 3, seed: int = 42, fixed: Mapping[str, Any] | None = None, eta: int = 3,
+    candidates: Iterable[Mapping[str, Any]] = (),
 ) -> list[dict[str, Any]]:
-    """Random search: cross-validated accuracy of sampled parameters, best first."""
+    """Random search by successive halving: sampled parameters (and the `candidates`), best first.
+
+    The folds are dealt and stored once for all trials. A rung trains its trials on a share of each
+    training fold, scores them on whole held-out folds in one job, and passes the best `eta`-th on to
+    `eta` times the rows; the last rung trains on all rows. The share is by a hash of the keys, so a
+    rung's rows hold those of the rung before. A trial that can't be trained is the worst of its rung. Each result has
+    `params`, `score` (mean accuracy over the folds in its last rung, null if it failed), `rung` and `share`.
+    """
     features, keys, draw = list(features), list(keys), random.Random(seed)
-    found = []
-    for _ in range(trials):
-        sampled = {key: sample(draw) for key, sample in MODELS[name].space.items()}
-        params = {**sampled, **(fixed or {})}
-        scores = cross_validate(df, target, features, keys, name, folds, params)
-        found.append({"params": params, "score": cross_validation_summary(scores).first()["cv_mean"]})
-    return sorted(found, key=lambda trial: -trial["score"])
+    model = MODELS[name]
+    sampled = [dict(params) for params in candidates]
+    while len(sampled) < trials:
+        sampled.append({key: sample(draw) for key, sample in sorted(model.space.items())})
+    narrow = df.where(F.col(target).isNotNull()).select(*dict.fromkeys([*keys, *features, target]))
+    order = F.xxhash64(F.lit(seed), *keys)
+    shared = narrow.withColumn("_share", F.pmod(order, F.lit(1 << 30)) / (1 << 30))
+    folded = materialize(splits.with_stratified_fold(shared, target, keys, folds, seed))
+    alive = [{"params": {**params, **(fixed or {})}} for params in sampled]
+    done: list[dict[str, Any]] = []
+    for rung, (count, share) in enumerate(rungs(len(alive), eta)):
+        done, alive = alive[count:] + done, alive[:count]
+        measured = []
+        for at, trial in enumerate(alive):
+            trial.update(score=None, rung=rung, share=share)
+            try:
+                hits = _fold_hits(folded, target, features, name, trial["params"], share, folds)
+                measured.append(hits.withColumn("trial", F.lit(at)))
+            except Exception as error:
+                log.warning("trial %s of %s failed: %s", trial["params"], name, error)
+        if measured:
+            accuracy = F.avg(F.col("hits") / F.col("n")).alias("score")
+            for row in _union(measured).where("n > 0").groupBy("trial").agg(accuracy).collect():
+                alive[row["trial"]]["score"] = row["score"]
+        alive.sort(key=lambda trial: -1.0 if trial["score"] is None else trial["score"], reverse=True)
+    return alive + done
 
 
 def predict_all(models: Iterable[FittedModel], df: DataFrame) -> DataFrame:
