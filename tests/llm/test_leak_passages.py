@@ -48,3 +48,28 @@ def test_verbatim_passages_in_another_layout_or_case(spark, text):
 def test_names_at_the_start_of_sentences_and_of_other_lengths(spark):
     other = NAMED.replace("Tom", "Anna").replace("Paris", "New York").replace("5", "9").replace("Mary Ann", "Bob")
     assert found(spark, f"so {other} now", NAMED) == [(True, 1.0, False)]
+
+
+def test_number_words_digits_and_units_are_slots(spark):
+    item = "a farmer fills three litres of milk into 12 jugs and sells each jug for five dollars at the market so how much"
+    same = item.replace("three litres", "7 gallons").replace("12", "nineteen").replace("five dollars", "8 euros")
+    assert found(spark, f"so {same} is it", item) == [(True, 1.0, False)]
+    # A unit is one only behind a number.
+    assert found(spark, f"so {item.replace('three litres', 'many litres')} is it", item.replace("three litres", "many gallons")) == []
+
+
+TWICE = "Tom walks to the old mill before noon and then slowly Tom walks home again in the rain"
+
+
+def test_the_first_name_is_a_slot(spark):
+    assert found(spark, f"so {TWICE.replace('Tom', 'Maria')} now", TWICE) == [(True, 1.0, False)]
+    assert found(spark, f"Then {TWICE.replace('Tom', 'Maria')} now", TWICE) == [(True, 1.0, False)]
+    other = TWICE.replace("Tom walks to", "Maria walks to").replace("slowly Tom", "slowly Susan")
+    assert found(spark, f"so {other} now", TWICE) == []
+
+
+def test_items_of_all_sizes_in_one_pass(spark):
+    docs = spark.createDataFrame([(1, "red apples fall"), (2, "we saw red apples fall far"), (3, "green pears")], "doc_id long, text string")
+    items = [(1, "red apples"), (2, "red apples fall"), (3, "green"), (4, "we saw red apples fall far away")]
+    got = leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (1, 2), (2, 1), (2, 2), (3, 3)}

@@ -1,7 +1,7 @@
 """Benchmark decontamination by template canonicalisation.
 
-Numbers, names (runs of capitalised words, also at a sentence's start) and units behind numbers
-become typed placeholders, so a question that was only given other values keeps its template. Any
+Numbers (in digits, or single English number words), names (runs of capitalised words, also at a
+sentence's start) and units behind numbers become typed placeholders, so a question that was only given other values keeps its template. Any
 white space is one blank. The windows of the plain lower-cased words are compared as well and judged
 on their own, so a verbatim passage matches in any layout or case. Windows
 of five template words of every document are hash-joined with those of the benchmark; for
@@ -19,7 +19,8 @@ its windows plus one, those with the longest words, has one such word each, and
 that covers 0.8 of the windows must hold one of them.
 
 The first word of an item may be capitalised or not by what stands before it, so the first
-window counts only where it is the only one.
+window counts only where it is the only one. If that word is a name, it is still a slot: the word
+in front of a match of the second window must then map as the name does elsewhere.
 
 Defined cases: null texts are empty and match nothing; an item of fewer than five words is
 compared as one window of all its words against windows of that many words; repeated
@@ -29,20 +30,30 @@ be reported and are skipped; other columns are ignored by `leaks`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickerloom.llm.bits import build
+from tickerloom.llm.bits import BitTable, build
 from tickerloom.llm.common import let, stored
 
 WINDOW = 5
 MIN_COVER = 0.8
 MIN_AGREE = 0.8
-# Units recognised behind a number.
+# Units recognised behind a number, and words that are numbers.
 UNITS = (
-    "kilometers|kilometres|meters|metres|miles|inches|feet|yards|grams|kilograms|pounds|ounces|liters|litres|"
-    "seconds|minutes|hours|days|weeks|months|years|dollars|euros|cents|percent|degrees|"
-    "km|cm|mm|kg|mg|ml|mph|kph|usd|eur|lb|oz|ft"
-)
+    "kilometer kilometers kilometre kilometres meter meters metre metres centimeter centimeters centimetre centimetres "
+    "millimeter millimeters millimetre millimetres mile miles inch inches foot feet yard yards acre acres hectare hectares "
+    "kilogram kilograms gram grams milligram milligrams pound pounds ounce ounces ton tons tonne tonnes "
+    "liter liters litre litres milliliter milliliters millilitre millilitres gallon gallons quart quarts pint pints cup cups "
+    "second seconds minute minutes hour hours day days week weeks month months year years "
+    "dollar dollars euro euros cent cents percent degree degrees "
+    "km cm mm kg mg ml mph kph usd eur lb lbs oz ft"
+).split()
+NUMBER_WORDS = (
+    "two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+    "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
+).split()
 NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
 # Joins the words of one name; a typed text's GAP keeps it.
 JOIN = "\u0004"
@@ -63,64 +74,97 @@ def joined_names(plain: Column) -> Column:
 
 
 def canonical(joined: Column) -> Column:
-    """The text with typed placeholders, a word for a word."""
+    """The text with placeholders for names and for numbers in digits, a word for a word."""
 
     def typed(named: Column) -> Column:
         numbered = F.regexp_replace(named, r"(?<![\p{L}\p{N}])\p{Nd}+(?![\p{L}\p{N}])", NUMBER)
-        units = F.regexp_replace(numbered, rf"(?i)(?<=\x02 )(?:{UNITS})(?![\p{{L}}\p{{N}}])", UNIT)
-        return F.lower(F.when(named.rlike(r"\d"), units).otherwise(named))
+        return F.lower(F.when(named.rlike(r"\d"), numbered).otherwise(named))
 
     return let(F.regexp_replace(joined, r"\p{Lu}(?<![\p{L}\p{N}\x04].)[\p{L}\p{N}\x04]*", NAME), typed)
 
 
+def measured(words: Column) -> Column:
+    """The words of a canonical text, with placeholders also for number words and for units behind a number."""
+    return let(
+        F.transform(words, lambda w: F.when(w.isin(NUMBER_WORDS), F.lit(NUMBER)).otherwise(w)),
+        lambda found: F.transform(
+            found,
+            lambda w, i: F.when(w.isin(UNITS) & (i > 0) & (F.get(found, i - 1) == NUMBER), F.lit(UNIT)).otherwise(w),
+        ),
+    )
+
+
 def tokens(text: Column) -> Column:
     return F.array_remove(F.split(text, GAP), "")
 
 
-def window_rows(texts: DataFrame, ids: list[str], keep=None, size: Column | None = None) -> DataFrame:
-    """One row per window of `size` words (five): its hash, its start, its template and original words.
+WINDOW_TYPE = "struct<plain:boolean,hash:bigint,at:int,template:array<string>,own:array<string>,before:string>"
+
+
+def window_rows(texts: DataFrame, ids: list[str], wanted: dict[int, BitTable] | None = None, anchor: BitTable | None = None) -> DataFrame:
+    """One row per window of five words: its hash, its start, its template and original words.
 
     Windows are those of the typed text and, marked `plain`, those of its lower-cased words,
-    which hold a verbatim passage in any layout or case.
+    which hold a verbatim passage in any layout or case. `before` is the name in front of a typed window.
 
-    `keep` tests a hash; other windows are left out before rows are made of them. All of a
-    text's steps are one expression whose parts are bound once (`let`), and rows are made
-    by an outer explode, which no filter is inferred from: the optimizer must not copy the
-    costly parts into lambdas.
+    `wanted` gives the window sizes instead, each with a table of the hashes to keep; other windows are left
+    out before rows are made of them, and original words are looked up only for texts with one that
+    stays. A text none of whose words is in `anchor` has no windows. All of a text's steps are one
+    expression whose parts are bound once (`let`), for all sizes, and rows are made by an outer
+    explode, which no filter is inferred from: the optimizer must not copy the costly parts into lambdas.
     """
-    none = F.array().cast("array<struct<plain:boolean,hash:bigint,at:int,template:array<string>,own:array<string>>>")
+    none = F.array().cast(f"array<{WINDOW_TYPE}>")
 
-    def windows(template: Column, own: Column, plain: bool) -> Column:
-        width = F.least(F.lit(WINDOW), F.size(template)) if size is None else size
-        hashed = F.transform(
-            F.sequence(F.lit(1), F.size(template) - width + 1),
-            lambda i: F.struct(F.xxhash64(F.lit(plain), F.slice(template, i, width)).alias("hash"), i.alias("at")),
-        )
-        wanted = hashed if keep is None else F.filter(hashed, lambda w: keep(w["hash"]))
-        worded = F.transform(
-            wanted,
-            lambda w: F.struct(
+    def windows(template: Column, own: Callable[[], Column], plain: bool) -> Column:
+        return let(F.transform(template, lambda w: F.xxhash64(w)), lambda hashes: F.concat(
+            *[of_size(template, hashes, own, plain, size) for size in (wanted or [None])]
+        ))
+
+    def of_size(template: Column, hashes: Column, own: Callable[[], Column], plain: bool, size: int | None) -> Column:
+        width = F.least(F.lit(WINDOW), F.size(template)) if size is None else F.lit(size)
+
+        def hashed(i: Column) -> Column:
+            return F.xxhash64(F.lit(plain), F.slice(hashes, i, width))
+
+        starts = F.sequence(F.lit(1), F.size(template) - width + 1)
+        kept = starts if wanted is None else F.filter(starts, lambda i: let(hashed(i), wanted[size].may_hold))
+
+        def worded(at: Column, words: Column) -> Column:
+            previous = F.when((at > 1) & (F.get(template, at - 2) == NAME), F.substring_index(F.get(words, at - 2), JOIN, -1))
+            return F.struct(
                 F.lit(plain).alias("plain"),
-                w["hash"].alias("hash"),
-                w["at"].alias("at"),
-                F.slice(template, w["at"], width).alias("template"),
-                F.slice(own, w["at"], width).alias("own"),
-            ),
-        )
-        return F.when((F.size(template) >= width) & (width > 0), worded).otherwise(none)
+                hashed(at).alias("hash"),
+                at.alias("at"),
+                F.slice(template, at, width).alias("template"),
+                F.slice(words, at, width).alias("own"),
+                (F.lit(None).cast("string") if plain else previous).alias("before"),
+            )
+
+        def rows(found: Column) -> Column:
+            made = let(own(), lambda words: F.transform(found, lambda at: worded(at, words)))
+            return F.when(F.size(found) > 0, made).otherwise(none)
+
+        return F.when((F.size(template) >= width) & (width > 0), let(kept, rows)).otherwise(none)
 
     def both(text: Column) -> Column:
         typed = let(
             joined_names(text),
-            lambda joined: let(tokens(canonical(joined)), lambda t: let(tokens(F.lower(joined)), lambda own: windows(t, own, False))),
+            lambda joined: let(measured(tokens(canonical(joined))), lambda t: windows(t, lambda: tokens(F.lower(joined)), False)),
         )
-        return F.concat(typed, let(tokens(F.lower(text)), lambda own: windows(own, own, True)))
+
+        def with_plain(words: Column) -> Column:
+            every = F.concat(typed, windows(words, lambda: words, True))
+            # A word that is no placeholder in the typed text is one of the lower-cased words as well.
+            return every if anchor is None else F.when(F.exists(words, anchor.may_hold), every).otherwise(none)
+
+        return let(tokens(F.lower(text)), with_plain)
 
     found = let(without_marks(F.col("text_")), both)
+    names = ("plain", "hash", "at", "template", "own", "before")
     return (
         texts.select(*ids, F.explode_outer(found).alias("w_"))
         .where(F.col("w_").isNotNull())
-        .select(*ids, *[F.col("w_")[name].alias(name) for name in ("plain", "hash", "at", "template", "own")])
+        .select(*ids, *[F.col("w_")[name].alias(name) for name in names])
     )
 
 
@@ -137,15 +181,11 @@ def anchors(item_windows: DataFrame, min_cover: float) -> DataFrame:
     return ranked.where(F.col("rank") <= F.floor((1 - min_cover) * F.col("n") + 1e-9) + 1).select("word").distinct()
 
 
-def with_anchor(texts: DataFrame, item_windows: DataFrame, min_cover: float) -> DataFrame:
+def anchor_table(item_windows: DataFrame, min_cover: float) -> BitTable | None:
+    """The anchor words as a bit table; none if some item has no anchor, so that every text is to be read."""
     words = stored(anchors(item_windows, min_cover), "anchors")
     count, missing = words.agg(F.count("*"), F.count_if(F.col("word").isNull())).first()
-    if missing:
-        return texts
-    table = build(words, "word", count, 64, 3, seed=5)
-    # A word that is no placeholder in the typed text is one of the lower-cased words as well.
-    held = let(tokens(F.lower(without_marks(F.col("text_")))), lambda found: F.exists(found, table.may_hold))
-    return texts.where(held)
+    return None if missing else build(words, "word", count, 64, 3, seed=5)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER, min_agree: float = MIN_AGREE) -> DataFrame:
@@ -164,24 +204,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER, m
         .drop("last"),
         "bench",
     )
-    every = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
+    texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
         "doc_id", F.col("text").cast("string").alias("text_")
     )
-    texts = with_anchor(every, item_windows, min_cover)
-    matched = None
-    for row in item_windows.groupBy("size").agg(F.countDistinct("hash").alias("n")).collect():
-        part = item_windows.where(F.col("size") == row["size"])
-        table = build(part.select("hash"), "hash", row["n"], 16, 2, seed=7)
-        own = window_rows(texts, ["doc_id"], table.may_hold, F.lit(row["size"]))
-        joined = own.alias("d").join(part.alias("b"), ["plain", "hash", "template"]).select(
-            "doc_id", "item_id", "item_key", "plain", F.col("b.at").alias("item_at"), F.col("d.at").alias("doc_at"),
-            F.col("d.own").alias("doc_words"), F.col("b.own").alias("item_words"), "template",
-        )
-        matched = joined if matched is None else matched.unionByName(joined)
-    if matched is None:
+    # At most five sizes: items of fewer words than a window have one of their own length.
+    sizes = item_windows.groupBy("size").agg(F.countDistinct("hash").alias("n")).collect()
+    if not sizes:
         return texts.join(items, F.lit(False)).selectExpr(
             "doc_id", "item_id", "0L AS n_windows", "0L AS n_matched", "0D AS cover", "0L AS n_slots", "0D AS agree", "true AS exact"
         )
+    wanted = {
+        row["size"]: build(item_windows.where(F.col("size") == row["size"]).select("hash"), "hash", row["n"], 24, 4, seed=7)
+        for row in sizes
+    }
+    own = window_rows(texts, ["doc_id"], wanted, anchor_table(item_windows, min_cover))
+    matched = own.alias("d").join(item_windows.alias("b"), ["plain", "hash", "template"]).select(
+        "doc_id", "item_id", "item_key", "plain", F.col("b.at").alias("item_at"), F.col("d.at").alias("doc_at"),
+        F.col("d.own").alias("doc_words"), F.col("b.own").alias("item_words"), "template",
+        # The item's first word is a slot of its second window if it is a name in both texts.
+        F.when(F.col("b.at") == 2, F.struct(F.col("b.before").alias("from"), F.col("d.before").alias("to"))).alias("first"),
+    )
     n_windows = item_windows.groupBy("item_key", "plain").agg(F.countDistinct("at").alias("n_windows"))
     # Each placement of the item in the document is judged on its own (equal `shift`), and all matches
     # together (null), where a window prefers its verbatim match: values of a stem that stands before
@@ -190,19 +232,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER, m
     same = F.col("doc_words") == F.col("item_words")
     placed = matched.withColumn("shift", F.explode(F.array(F.lit(None).cast("int"), F.col("doc_at") - F.col("item_at"))))
     covered = placed.groupBy(*pair, "plain", "shift", "item_at").agg(
-        F.min_by(F.struct("doc_words", "item_words", "template"), F.struct(~same, "doc_at")).alias("m"),
+        F.min_by(F.struct("doc_words", "item_words", "template", "first"), F.struct(~same, "doc_at")).alias("m"),
         F.max(same.cast("int")).alias("same"),
     )
-    slots = F.filter(
-        F.transform(
-            F.sequence(F.lit(0), F.size("m.template") - 1),
-            lambda i: F.when(
-                F.get(F.col("m.template"), i).isin(NAME, NUMBER, UNIT),
-                F.struct(F.get(F.col("m.item_words"), i).alias("from"), F.get(F.col("m.doc_words"), i).alias("to")),
-            ),
+    inner = F.transform(
+        F.sequence(F.lit(0), F.size("m.template") - 1),
+        lambda i: F.when(
+            F.get(F.col("m.template"), i).isin(NAME, NUMBER, UNIT),
+            F.struct(F.get(F.col("m.item_words"), i).alias("from"), F.get(F.col("m.doc_words"), i).alias("to")),
         ),
-        lambda slot: slot.isNotNull(),
     )
+    known = F.col("m.first")["from"].isNotNull() & F.col("m.first")["to"].isNotNull()
+    slots = F.filter(F.concat(inner, F.array(F.when(known, F.col("m.first")))), lambda slot: slot.isNotNull())
     summed = covered.groupBy(*pair, "plain", "shift").agg(
         F.count("*").alias("n_matched"),
         F.sum("same").alias("n_same"),
