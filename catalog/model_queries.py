@@ -91,7 +91,7 @@ query(
 )
 
 SMALL = {
-    "logistic_regression": {"max_iter": 50},
+    "logistic_regression": {},
     "random_forest": {"n_estimators": 10, "max_depth": 5},
     "gradient_boosting": {"n_estimators": 5, "max_depth": 3},
     "early_stopping_boosting": {"n_estimators": 5, "max_depth": 3},
@@ -144,7 +144,7 @@ def cross_validation(t):
 @query("walk_forward", METRIC_DOUBLES)
 def walk_forward(t):
     rows = training.prepare_data(feature_table(t), TARGET, FEATURES)
-    return training.walk_forward(rows, TARGET, FEATURES, "logistic_regression", 3, SMALL["logistic_regression"])
+    return training.walk_forward(rows, TARGET, FEATURES, "logistic_regression", 5, SMALL["logistic_regression"])
 
 
 @query("parameter_search", "score share")
