@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
+import sys
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.feature import (
@@ -23,10 +25,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F
 
-from tickerloom.session import materialize
+from tickerloom.session import materialize, ship_package, written
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
-HISTOGRAM_ROWS = 256
+HISTOGRAM_ROWS = 1024
+FREQUENT_WORDS = 100_000
 
 
 def terms(df: DataFrame, column: str, stop_words: list[str] | None = None, name: str = "terms") -> DataFrame:
@@ -43,54 +46,146 @@ def terms(df: DataFrame, column: str, stop_words: list[str] | None = None, name:
     )
 
 
+@lru_cache(maxsize=1)
+def _word_characters() -> np.ndarray:
+    """Every character that `TOKEN` takes, by code point."""
+    import regex
+
+    taken = np.zeros(sys.maxunicode + 1, dtype=bool)
+    every = "".join(chr(code) for code in range(len(taken)) if not 0xD800 <= code < 0xE000)
+    taken[np.frombuffer("".join(regex.findall(TOKEN.removesuffix("{2,}"), every)).encode("utf-32-le"), dtype="<u4")] = True
+    return taken
+
+
+def _kept_words(texts: list[str | None], dropped: frozenset[str]) -> list[str]:
+    """The words of every text joined by blanks, all texts split in one pass over their characters."""
+    lowered = [(text or "").lower() for text in texts]
+    codes = np.frombuffer("\n".join(lowered).encode("utf-32-le"), dtype="<u4")
+    ends = np.cumsum([len(text) + 1 for text in lowered])[:-1] - 1
+    spaced = np.where(_word_characters()[codes], codes, 32).astype("<u4")
+    spaced[ends] = 10
+    rows = spaced.tobytes().decode("utf-32-le").split("\n")
+    return [" ".join([word for word in row.split(" ") if len(word) > 1 and word not in dropped]) for row in rows]
+
+
 def histograms(df: DataFrame, column: str, key: str, stop_words: list[str] | None = None) -> DataFrame:
-    """The key of every row with its distinct terms (`terms`) and how often each occurs (`counts`), stored.
+    """The key of every row with the words that count, in order and joined by blanks (`words`), stored.
 
-    Words and pairs are those of `terms`. A row's terms are counted where the row is, so its
-    text is split once for the vocabulary and the weights, and never leaves its task as (row, term) rows.
+    Words are those of `terms`. A row's histogram, of its words and of their neighbouring pairs, is taken from
+    this column on numbers, a batch at a time (`_numbered`): texts are split once for the vocabulary and the
+    weights, and no (row, term) rows are stored or shuffled.
     """
-    stops = frozenset(stop_words if stop_words is not None else StopWordsRemover.loadDefaultStopWords("english"))
+    stops = list(stop_words if stop_words is not None else StopWordsRemover.loadDefaultStopWords("english"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        words = regex.compile(TOKEN)
+        dropped = frozenset(stops)
         for batch in batches:
             for at in range(0, batch.num_rows, HISTOGRAM_ROWS):
                 part = batch.slice(at, HISTOGRAM_ROWS)
-                found = []
-                for text in part.column(1).to_pylist():
-                    kept = [word for word in words.findall((text or "").lower()) if word not in stops]
-                    count = Counter(kept)
-                    count.update(map(" ".join, zip(kept, kept[1:])))
-                    found.append(count)
-                offsets = np.concatenate([[0], np.cumsum([len(c) for c in found])]).astype(np.int32)
-                names = pa.array([term for c in found for term in c], pa.string())
-                numbers = pa.array([n for c in found for n in c.values()], pa.int32())
+                found = _kept_words(part.column(1).to_pylist(), dropped)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.string())], names=[key, "words"])
+
+    ship_package(df.sparkSession)
+    narrow = df.select(key, F.col(column).cast("string").alias("_text"))
+    return written(narrow.mapInArrow(run, f"`{key}` {dict(df.dtypes)[key]}, words string"), "histograms")
+
+
+def _numbered(words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of rows of `histograms`, and number and row of every word in order."""
+    lists = pc.split_pattern(words, " ")
+    rows = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    coded = lists.flatten().dictionary_encode()
+    codes = coded.indices.to_numpy().astype(np.int64)
+    # A row without words is split into one empty word.
+    filled = pc.not_equal(coded.dictionary, "").to_numpy(zero_copy_only=False)[codes] if len(codes) else np.zeros(0, dtype=bool)
+    return coded.dictionary, codes[filled], rows[filled]
+
+
+def _pairs(codes: np.ndarray, rows: np.ndarray, many: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number (first * many + second) and row of neighbouring words; words numbered below 0 are in no pair."""
+    both = (rows[:-1] == rows[1:]) & (codes[:-1] >= 0) & (codes[1:] >= 0)
+    return (codes[:-1] * many + codes[1:])[both], rows[:-1][both]
+
+
+def _sums(numbers: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct numbers, how often each occurs and in how many rows."""
+    some = int(rows.max(initial=0)) + 1
+    pairs, counts = np.unique(numbers * some + rows, return_counts=True)
+    found, starts = np.unique(pairs // some, return_index=True)
+    occurrences = np.add.reduceat(counts, starts) if len(found) else counts
+    return found, occurrences, np.diff(np.append(starts, len(pairs)))
+
+
+def _totals(counted: DataFrame, min_documents: int, frequent: list[str] | None = None, pairs: bool = False) -> DataFrame:
+    """Occurrences and documents of the words, or of the pairs (of the frequent words, if given)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None if frequent is None else pa.array(frequent, pa.string())
+        for batch in batches:
+            for at in range(0, batch.num_rows, HISTOGRAM_ROWS):
+                names, codes, rows = _numbered(batch.column(0).slice(at, HISTOGRAM_ROWS))
+                if known is not None:
+                    codes = pc.index_in(names, value_set=known).fill_null(-1).to_numpy().astype(np.int64)[codes]
+                    names = known
+                if pairs:
+                    codes, rows = _pairs(codes, rows, len(names))
+                found, occurrences, documents = _sums(codes, rows)
+                if pairs:
+                    first, second = (names.take(pa.array(part)) for part in (found // max(len(names), 1), found % max(len(names), 1)))
+                    found_names = pc.binary_join_element_wise(first, second, " ")
+                else:
+                    found_names = names.take(pa.array(found))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(offsets, names), pa.ListArray.from_arrays(offsets, numbers)],
-                    names=[key, "terms", "counts"],
+                    [found_names, pa.array(occurrences, pa.int64()), pa.array(documents, pa.int64())],
+                    names=["term", "occurrences", "documents"],
                 )
 
-    narrow = df.select(key, F.col(column).cast("string").alias("_text"))
-    counted = narrow.mapInArrow(run, f"`{key}` {dict(df.dtypes)[key]}, terms array<string>, counts array<int>")
-    return materialize(counted)
+    parts = counted.select("words").mapInArrow(run, "term string, occurrences long, documents long")
+    sums = parts.groupBy("term").agg(F.sum("occurrences").alias("occurrences"), F.sum("documents").alias("documents"))
+    return sums.where(F.col("documents") >= min_documents)
 
 
 def vocabulary(counted: DataFrame, max_features: int = 1000, min_documents: int = 2) -> DataFrame:
     """The most frequent terms found in enough documents, with their document counts.
 
-    Each row of `histograms` names a term once, so both counts are sums that reduce before the shuffle.
+    A pair occurs no more often, and in no more documents, than either of its words. So single words are
+    counted first, and then only pairs of words as frequent as the last word that would be chosen: the many
+    pairs that occur once or twice are not counted, and no chosen term is lost. Where so many words are
+    equally frequent that a task should not hold them (`FREQUENT_WORDS`), all pairs are counted.
     """
-    return (
-        counted.select(F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("counts").alias("n"))))
-        .toDF("term", "n")
-        .groupBy("term")
-        .agg(F.sum("n").alias("occurrences"), F.count("*").alias("documents"))
-        .where(F.col("documents") >= min_documents)
-        .orderBy(F.desc("occurrences"), "term")
-        .limit(max_features)
-    )
+    ship_package(counted.sparkSession)
+
+    def first(found: DataFrame) -> DataFrame:
+        return found.orderBy(F.desc("occurrences"), "term").limit(max_features)
+
+    words = written(_totals(counted, min_documents), "words")
+    least, chosen = first(words).agg(F.min("occurrences"), F.count("*")).first()
+    able = words if chosen < max_features else words.where(F.col("occurrences") >= least)
+    frequent = [row["term"] for row in able.select("term").limit(FREQUENT_WORDS + 1).collect()]
+    pairs = _totals(counted, min_documents, frequent if len(frequent) <= FREQUENT_WORDS else None, pairs=True)
+    return first(words.unionByName(pairs))
+
+
+def _places(words: pa.Array, terms: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place in `terms` and count of every term of rows of `histograms` that is among them, by row and place."""
+    names, codes, rows = _numbered(words)
+    parts = pa.array(sorted({word for term in terms for word in term.split(" ")}), pa.string())
+    codes = pc.index_in(names, value_set=parts).fill_null(-1).to_numpy().astype(np.int64)[codes]
+    number = {word: at for at, word in enumerate(parts.to_pylist())}
+    many = len(parts)
+    # Words are numbered from 0, pairs from `many` on.
+    wanted = []
+    for term in terms:
+        word, _, second = term.partition(" ")
+        wanted.append(many + number[word] * many + number[second] if second else number[word])
+    order = np.argsort(wanted)
+    sorted_terms = np.array(wanted, dtype=np.int64)[order]
+    double, double_rows = _pairs(codes, rows, many)
+    numbers, rows = np.concatenate([codes, double + many]), np.concatenate([rows, double_rows])
+    at = np.minimum(np.searchsorted(sorted_terms, numbers), max(len(terms) - 1, 0))
+    found = sorted_terms[at] == numbers if terms else np.zeros(len(numbers), dtype=bool)
+    keys, counts = np.unique(rows[found] * max(len(terms), 1) + order[at[found]], return_counts=True)
+    return keys // max(len(terms), 1), keys % max(len(terms), 1), counts
 
 
 class TfIdf:
@@ -104,12 +199,32 @@ class TfIdf:
         self.weights = [math.log((1 + rows) / (1 + count)) + 1 for count in documents]
         self.stop_words = stop_words
 
-    def transform(self, df: DataFrame, column: str, name: str = "tfidf") -> DataFrame:
+    def transform(self, df: DataFrame, column: str, name: str = "tfidf", counted: DataFrame | None = None) -> DataFrame:
+        """`df` with its vectors, or, given its `histograms`, their keys with the vectors: no text is split again."""
         counts = CountVectorizerModel.from_vocabulary(self.terms, inputCol="terms", outputCol="_counts")
         weighted = ElementwiseProduct(inputCol="_counts", outputCol="_weighted", scalingVec=Vectors.dense(self.weights))
         unit = Normalizer(p=2.0, inputCol="_weighted", outputCol=name)
-        counted = counts.transform(terms(df, column, self.stop_words))
-        return unit.transform(weighted.transform(counted)).drop("terms", "_counts", "_weighted")
+        found = terms(df, column, self.stop_words) if counted is None else self._repeated(counted)
+        return unit.transform(weighted.transform(counts.transform(found))).drop("terms", "_counts", "_weighted")
+
+    def _repeated(self, counted: DataFrame) -> DataFrame:
+        """The terms of every histogram that are in the vocabulary, as often as they occur."""
+        names = self.terms
+        key = counted.columns[0]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = pa.array(names, pa.string())
+            for batch in batches:
+                for at in range(0, batch.num_rows, HISTOGRAM_ROWS):
+                    part = batch.slice(at, HISTOGRAM_ROWS)
+                    rows, places, counts = _places(part.column(1), names)
+                    sizes = np.bincount(rows, counts, minlength=part.num_rows).astype(np.int64)
+                    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                    lists = pa.ListArray.from_arrays(offsets, known.take(pa.array(np.repeat(places, counts))))
+                    yield pa.RecordBatch.from_arrays([part.column(0), lists], names=[key, "terms"])
+
+        ship_package(counted.sparkSession)
+        return counted.mapInArrow(run, f"`{key}` {dict(counted.dtypes)[key]}, terms array<string>")
 
 
 def fit_tfidf(
@@ -135,21 +250,20 @@ def tfidf_weights(df: DataFrame, model: TfIdf, column: str, key: str, counted: D
     """
     counted = counted if counted is not None else histograms(df, column, key, model.stop_words)
     names, idf = model.terms, model.weights
+    ship_package(counted.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, scale = pa.array(names, pa.string()), np.array(idf, dtype=float)
         for batch in batches:
-            lists = batch.column(1)
-            place = pc.index_in(lists.flatten(), value_set=known)
-            chosen = place.is_valid().to_numpy(zero_copy_only=False)
-            place = place.drop_null().to_numpy()
-            rows = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())[chosen]
-            x = batch.column(2).flatten().to_numpy()[chosen] * scale[place]
-            length = np.sqrt(np.bincount(rows, x * x, minlength=len(lists)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows)), known.take(pa.array(place)), pa.array(x / length[rows])],
-                names=[key, "term", "weight"],
-            )
+            for at in range(0, batch.num_rows, HISTOGRAM_ROWS):
+                part = batch.slice(at, HISTOGRAM_ROWS)
+                rows, places, counts = _places(part.column(1), names)
+                x = counts * scale[places]
+                length = np.sqrt(np.bincount(rows, x * x, minlength=part.num_rows))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(rows)), known.take(pa.array(places)), pa.array(x / length[rows])],
+                    names=[key, "term", "weight"],
+                )
 
     return counted.mapInArrow(run, f"`{key}` {dict(counted.dtypes)[key]}, term string, weight double")
 
