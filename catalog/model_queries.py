@@ -55,8 +55,9 @@ COMPONENTS = 50
 
 @query("tfidf_components", " ".join(f"tfidf_pca_{i}" for i in range(COMPONENTS)))
 def tfidf_components(t):
-    model = fitted_tfidf(t)
-    vectors = model.transform(t.documents, "text")
+    counted = term_histograms(t)
+    model = fitted_tfidf(t, counted)
+    vectors = model.transform(t.documents, "text", counted=counted)
     return text_vectors.with_components(vectors, model, COMPONENTS).select(
         "doc_id", *[f"tfidf_pca_{i}" for i in range(COMPONENTS)]
     )

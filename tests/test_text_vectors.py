@@ -63,3 +63,19 @@ def test_odd_words_are_those_of_the_pattern(spark, texts):
     rows = {row["k"]: row["words"] for row in text_vectors.histograms(df, "t", "k", STOPS).collect()}
     for k, text in enumerate(texts):
         assert rows[k].split() == [w for w in regex.findall(text_vectors.TOKEN, (text or "").lower()) if w not in STOPS]
+
+
+def test_components_from_histograms_are_those_of_the_texts(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts[5:])), "k long, t string")
+    counted = text_vectors.histograms(df, "t", "k", STOPS)
+    model = text_vectors.fit_tfidf(df, "t", "k", max_features=30, counted=counted, stop_words=STOPS)
+    plain = {r["k"]: r["tfidf"] for r in model.transform(df, "t").collect()}
+    vectors = model.transform(df, "t", counted=counted)
+    assert {r["k"]: r["tfidf"] for r in vectors.collect()} == plain
+    weights = text_vectors.tfidf_weights(df, model, "t", "k", counted).groupBy("k").agg(F.sum("weight").alias("s")).collect()
+    assert {r["k"]: pytest.approx(r["s"]) for r in weights} == {k: sum(v.values) for k, v in plain.items() if len(v.values)}
+    rows = text_vectors.with_components(vectors, model, 5).orderBy("k").collect()
+    x = np.array([plain[row["k"]].toArray() for row in rows])
+    x -= x.mean(axis=0)
+    expected = x @ np.linalg.svd(x, full_matrices=False)[2][:5].T
+    assert np.allclose(np.abs([[row[f"tfidf_pca_{i}"] for i in range(5)] for row in rows]), np.abs(expected))

@@ -12,13 +12,11 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.feature import (
-    PCA,
     CountVectorizerModel,
     ElementwiseProduct,
     NGram,
     Normalizer,
     RegexTokenizer,
-    StandardScaler,
     StopWordsRemover,
 )
 from pyspark.ml.functions import vector_to_array
@@ -268,12 +266,62 @@ def tfidf_weights(df: DataFrame, model: TfIdf, column: str, key: str, counted: D
     return counted.mapInArrow(run, f"`{key}` {dict(counted.dtypes)[key]}, term string, weight double")
 
 
+def _second_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a task's sum of (1, x) times its transpose."""
+    total = None
+    for batch in batches:
+        for at in range(0, batch.num_rows, HISTOGRAM_ROWS):
+            lists = batch.column(0).slice(at, HISTOGRAM_ROWS)
+            x = np.column_stack([np.ones(len(lists)), lists.flatten().to_numpy().reshape(len(lists), -1)])
+            total = x.T @ x if total is None else total + x.T @ x
+    if total is not None:
+        yield from _matrix_rows(dict(enumerate(total)))
+
+
+def _summed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for at, values in zip(batch.column(0).to_pylist(), batch.column(1)):
+            sums[at] = sums.get(at, 0) + values.values.to_numpy()
+    if sums:
+        yield from _matrix_rows(sums)
+
+
+def _matrix_rows(rows: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for at, values in rows.items():
+        yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([values], pa.list_(pa.float64()))], names=["at", "values"])
+
+
+def _principal(vectors: DataFrame, k: int, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """The first k principal directions, and the mean's coordinates on them.
+
+    Tasks multiply batches by themselves; the rows of their products are summed side by side.
+    """
+    schema = "at int, values array<double>"
+    products = vectors.select(vector_to_array(column)).mapInArrow(_second_moments, schema)
+    rows = products.repartition("at").mapInArrow(_summed_rows, schema).collect()
+    moments = np.array([row["values"] for row in sorted(rows, key=lambda row: row["at"])])
+    n, mean = moments[0, 0], moments[0, 1:] / moments[0, 0]
+    covariance = (moments[1:, 1:] - n * np.outer(mean, mean)) / max(n - 1, 1)
+    directions = np.linalg.eigh(covariance)[1][:, ::-1][:, :k]
+    return directions, mean @ directions
+
+
 def with_components(vectors: DataFrame, model: TfIdf, components: int = 50, column: str = "tfidf") -> DataFrame:
-    """Adds centred principal components `tfidf_pca_<i>`; their signs are arbitrary."""
+    """Adds centred principal components `tfidf_pca_<i>`; their signs are arbitrary.
+
+    The vectors are read twice, so they are stored first. The driver holds a matrix of the vocabulary's size.
+    """
+    ship_package(vectors.sparkSession)
+    vectors = materialize(vectors)
     k = min(components, len(model.terms))
-    projected = PCA(k=k, inputCol=column, outputCol="_pca").fit(vectors).transform(vectors)
-    centred = StandardScaler(withMean=True, withStd=False, inputCol="_pca", outputCol="_centred")
-    values = centred.fit(projected).transform(projected).withColumn("_values", vector_to_array("_centred"))
-    return values.withColumns({f"tfidf_pca_{i}": F.get("_values", F.lit(i)) for i in range(k)}).drop(
-        "_pca", "_centred", "_values"
-    )
+    if k == 0 or vectors.isEmpty():
+        return vectors.withColumns({f"tfidf_pca_{i}": F.lit(None).cast("double") for i in range(k)})
+    directions, centre = _principal(vectors, k, column)
+
+    @F.pandas_udf("array<double>")
+    def project(x: pd.Series) -> pd.Series:
+        return pd.Series(list(np.stack(x.to_numpy()) @ directions - centre)) if len(x) else x
+
+    values = vectors.withColumn("_values", project(vector_to_array(column)))
+    return values.withColumns({f"tfidf_pca_{i}": F.get("_values", F.lit(i)) for i in range(k)}).drop("_values")
