@@ -1,5 +1,7 @@
 """Jobs on the driver tables."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +97,18 @@ def test_files_to_panel(spark, tmp_path):
     manifest = spark.read.parquet(sinks.manifest_path(f"{folder}/out/merged_panel.parquet"))
     assert manifest.agg(F.sum("rows")).first()[0] == panel.count()
     assert spark.read.parquet(f"{folder}/out/price_summary.parquet").count() == panel.select("ticker").distinct().count()
+
+
+def test_panel_prepares_every_text_once(spark, monkeypatch):
+    """Counts, keywords and scores read stored articles; a text is prepared in one plan only."""
+    rows = [(n, "A", f"headline number {n}", f"profit and loss of item {n} grew.", datetime.datetime(2024, 1, 2 + n % 3, 15)) for n in range(12)]
+    news = spark.createDataFrame(rows, "doc_id long, ticker string, headline string, content string, timestamp timestamp")
+    days = [("A", datetime.date(2024, 1, 1 + n), 1.0, 1.0, 1.0, 1.0 + n / 10, 5.0) for n in range(8)]
+    bars = spark.createDataFrame(days, "ticker string, date date, open double, high double, low double, close double, volume double")
+    calls, prepare = [], jobs.daily_news.prepare_articles
+    monkeypatch.setattr(jobs.daily_news, "prepare_articles", lambda df: calls.append(1) or prepare(df))
+    panel = jobs.merged_panel(news, bars, ["doc_id"], factories=[make_scorer()])
+    assert calls == [1]
+    plan = panel._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan and "min_by" not in plan.lower()
+    assert panel.agg(F.sum("article_count")).first()[0] > 0 and panel.where("finance_positive_count > 0").count() > 0

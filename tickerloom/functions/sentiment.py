@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from tickerloom.functions import fixed_values as fixed
-from tickerloom.functions.text import words
+from tickerloom.functions.text import pieces
 
 KEYWORD_COLUMNS = ("finance_positive_count", "finance_negative_count", "finance_sentiment_ratio")
 
@@ -15,7 +15,7 @@ def _hits(tokens: Column, vocabulary: list[str]) -> Column:
 
 
 def keyword_counts(text: Column) -> tuple[Column, Column]:
-    tokens = words(F.lower(F.coalesce(text, F.lit(""))))
+    tokens = pieces(F.lower(F.coalesce(text, F.lit(""))))
     return _hits(tokens, fixed.POSITIVE_FINANCE_WORDS), _hits(tokens, fixed.NEGATIVE_FINANCE_WORDS)
 
 

@@ -32,9 +32,15 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE_CHARACTERS))
 
 
+def pieces(text: Column) -> Column:
+    """White-space separated words, with empty ones where white space meets; printable ASCII needs no pattern."""
+    plain = F.when(text.rlike(r"[^\x20-\x7E]"), F.regexp_replace(text, SPACE, " ")).otherwise(text)
+    return F.split(plain, " ")
+
+
 def words(text: Column) -> Column:
     """White-space separated words; an empty text has none."""
-    return F.filter(F.split(text, f"{SPACE}+"), lambda word: word != "")
+    return F.filter(pieces(text), lambda word: word != "")
 
 
 def contains_any(text: Column, parts: Iterable[str]) -> Column:
@@ -98,7 +104,7 @@ def _long_words(text: Column, remove_stop_words: bool = True) -> Column:
     closing dot is not part of its word."""
     marked = F.regexp_replace(text, "[,!?;:]", " ")
     runs = F.regexp_replace(marked, r"\.{2,}", " $0 ")
-    pieces = F.split(F.regexp_replace(runs, r"(?<=[^. ])\.(?= |$)", ""), " ")
+    pieces = F.split(F.regexp_replace(runs, r"\.(?<=[^. ]\.)(?= |$)", ""), " ")
     if remove_stop_words:
         return F.filter(pieces, lambda word: (F.length(word) > 2) & ~word.isin(fixed.ENGLISH_STOP_WORDS))
     return F.filter(pieces, lambda word: F.length(word) > 2)

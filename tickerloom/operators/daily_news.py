@@ -52,14 +52,16 @@ def daily_text(news: DataFrame, order: Iterable[str], partitions: int | None = N
     several sorted partitions; every partition prepares and joins its own stretch.
     Ordinary days have one part, and the parts of a day in order are the whole text.
     The ranges are drawn before the texts are prepared, since drawing reads the input
-    once more.
+    once more. Articles that have their `combined_text` are not prepared again.
     """
     order = list(order)
     keys = ["ticker", "trading_date"]
-    raw = with_trading_date(news).select(*keys, *[name for name in order if name not in keys], "headline", "content")
+    texts = ["combined_text"] if "combined_text" in news.columns else ["headline", "content"]
+    raw = with_trading_date(news).select(*keys, *[name for name in order if name not in keys], *texts)
     ranges = [F.col(name) for name in keys + order]
     ranged = raw.repartitionByRange(partitions, *ranges) if partitions else raw.repartitionByRange(*ranges)
-    articles = prepare_articles(ranged).select(*keys, *order, "combined_text", F.spark_partition_id().alias("stretch"))
+    prepared = ranged if "combined_text" in texts else prepare_articles(ranged)
+    articles = prepared.select(*keys, *order, "combined_text", F.spark_partition_id().alias("stretch"))
     stretch = F.array_sort(F.collect_list(F.struct(*order, "combined_text")))
     parts = articles.groupBy(*keys, "stretch").agg(
         F.array_join(F.transform(stretch, lambda row: row["combined_text"]), " ").alias("combined_text")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickerloom.models import training
 from tickerloom.operators import cleaning, daily_news, merge, metrics, panel_features, profile, scoring, splits, technical
-from tickerloom.session import materialize
+from tickerloom.session import materialize, written
 from tickerloom.sources import files, sinks
 
 
@@ -33,16 +33,20 @@ def merged_panel(
     order, factories = list(order), list(factories)
     bars = cleaning.keep_first(bars, ["ticker", "date"], bar_order)
     cleaned = cleaning.clean_news(news, order)
-    articles = daily_news.with_trading_date(daily_news.prepare_articles(cleaned))
+    prepared = daily_news.with_trading_date(daily_news.prepare_articles(cleaned))
+    kept = {*order, "ticker", "timestamp", "trading_date", "headline", "headline_chars", "content_chars", "total_chars", "combined_text"}
+    # Preparing texts is the expensive step: its result is stored, and every aggregate reads its own columns.
+    articles = written(prepared.select(*[name for name in prepared.columns if name in kept]), "articles")
     stats = daily_news.daily_news(articles)
     keywords = daily_news.daily_keywords(articles)
     daily = stats.join(keywords, ["ticker", "trading_date"])
     priced = technical.with_returns(bars)
     filled = ["finance_positive_count", "finance_negative_count", "finance_sentiment_ratio"]
     if factories:
-        daily = daily.join(scored_days(cleaned, order, factories), ["ticker", "trading_date"], "left")
+        daily = daily.join(scored_days(articles, order, factories), ["ticker", "trading_date"], "left")
         filled += scoring.EXTERNAL_SCORES
-    panel = merge.attach_daily_news(priced, daily).na.fill(0, subset=filled)
+    # A row per ticker and day, which the filters read twice.
+    panel = materialize(merge.attach_daily_news(priced, daily).na.fill(0, subset=filled))
     if factories:
         inputs = ("vader_compound", "textblob_polarity", "finbert_positive", "finbert_negative", "finance_sentiment_ratio")
         panel = panel.withColumn("composite_sentiment", scoring.sentiment.composite_sentiment(*map(F.col, inputs)))
