@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickerloom.operators import technical
+from tickerloom.session import written
 
 BARS_SQL = """
 SELECT ticker, date, min_by(price, rn) AS open, max(price) AS high, min(price) AS low,
@@ -78,6 +79,12 @@ class Tables:
             F.sum("qty").alias("volume"),
         )
 
+    def store_bars(self) -> Tables:
+        """Write the bars down, for queries that read them more than once: a row per ticker and day
+        instead of all lines, joined and aggregated anew for every reader."""
+        self.bars = written(self.bars, "bars")
+        return self
+
     @cached_property
     def returns(self) -> DataFrame:
         return self.bars.withColumn("daily_return", technical.simple_return())

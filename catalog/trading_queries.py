@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from catalog.cleaning_queries import RETURNS
 from catalog.registry import query
 from tickerloom.operators import metrics, ordered, risk, signals, trades
+from tickerloom.session import written
 
 # A series mild enough to compound: a day's return as yesterday's, clipped to 5 %.
 SERIES = f"""SELECT ticker, date, r AS actual_return, p, CASE WHEN p <= 0.4 THEN -1 WHEN p >= 0.6 THEN 1 ELSE 0 END AS signal
@@ -437,7 +438,7 @@ CASH_SQL = " UNION ALL ".join(f"({cash_sql(positions)})" for positions in STRATE
 
 def booked(t):
     """Positions of both strategies, their cash events and sizes."""
-    position = taken(t)
+    position = written(taken(t.store_bars()), "positions")
     events = trades.cash_events(position)
     return position, events, trades.sized_positions(position, events)
 
