@@ -64,11 +64,13 @@ def test_plain_words_skip_the_whole_tokenizer_and_give_its_ids():
     latin = "".join(map(chr, [*range(0x21, 0x7F), *range(0xA1, 0x100)]))
     draw = np.random.default_rng(5)
     chunks = ["".join(draw.choice(list(latin), n)) for n in draw.integers(1, 9, 4_000)]
-    chunks += [*latin, "Straße", "ÀÉÎÕÜß", "naïve3x", "don't", "İx", "ﬁne", "éa", "日本語", "a\x7fb", "x<|endoftext|>y", "<|startoftext|>", "½x²", "µªº"]
+    chunks += [*latin, "it's", "THEY'LL", "a'sb", ".'s", "'re's", "“x”—y…", "‘a’", "«b»€5", "¿que?", "10•20", "Straße", "ÀÉÎÕÜß", "naïve3x", "don't", "İx", "ﬁne", "éa", "日本語", "a\x7fb", "x<|endoftext|>y", "<|startoftext|>", "½x²", "µªº"]
     for chunk in chunks:
         expected = encoder.tokenizer.encode(chunk, add_special_tokens=False).ids
         assert np.frombuffer(encoder.encode(chunk), "<u2").tolist() == expected, chunk
+    for text in ("a 's\tb\n\n it 's", "x\x0by\x0c z\r\nw", " 'll ''s 'S'T", "a\x1cb c", "a\u00a0b c", "<| startoftext|> x", ""):
+        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
     calls = []
     encoder.direct = lambda text: calls.append(text) or b""
-    encoder.encode("Plain wörds, ÉTÉ 1984 (a-b) all@new.example thrgh qzmerge")
+    encoder.encode("Plain wörds, ÉTÉ 1984 (a-b) all@new.example it's thrgh qzmerge")
     assert calls == []
