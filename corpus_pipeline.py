@@ -55,7 +55,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     repeated = named.groupBy("doc_id").count().where("count > 1")
     rows = named.select("doc_id", "text") if repeated.isEmpty() else stored(_one_row_per_text(named), "rows")
     groups = near_duplicates(rows.select("doc_id", "text"))
-    dropped = stored(groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "dropped")
+    dropped = stored(groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "dropped", named.count())
     if "row" not in rows.columns:
         return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
     kept = rows.join(dropped, "doc_id", "left_anti").select(*[F.col("row").getField(name).alias(name) for name in docs.columns])
@@ -64,7 +64,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = stored(leaks(docs, read(spark, folder, "benchmark")).select("doc_id").distinct(), "leaks")
+    found = stored(leaks(docs, read(spark, folder, "benchmark")).select("doc_id").distinct(), "leaks", docs.count())
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
 

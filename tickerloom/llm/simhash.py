@@ -130,14 +130,15 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """node and root (the smallest node reachable) for every node of the undirected `edges` (a, b).
 
     Alternating large and small stars: each round links every node to the least neighbour
-    known; the tables are written, and rounds end when the edges stay as they are.
+    known; the tables are written, and rounds end when the edges stay as they are. `rows`: about how many
+    edges there are; each round counts its own.
     """
     current = stored(edges.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
-                     .where("low < high").distinct(), "stars")
+                     .where("low < high").distinct(), "stars", rows)
     signature = None
     while True:
         both = current.select(F.col("high").alias("node"), F.col("low").alias("other")).unionByName(
@@ -145,14 +146,15 @@ def components(edges: DataFrame) -> DataFrame:
         least = both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("m"))
         large = stored(
             both.where("other > node").join(least, "node").select(F.col("m").alias("low"), F.col("other").alias("high"))
-            .where("low < high").distinct(), "large")
+            .where("low < high").distinct(), "large", rows)
         least = large.groupBy("high").agg(F.min("low").alias("m"))
         pulled = large.join(least, "high")
         small = stored(
             pulled.select(F.col("m").alias("low"), "high").unionByName(pulled.select(F.col("m").alias("low"), F.col("low").alias("high")))
-            .where("low < high").distinct(), "small")
+            .where("low < high").distinct(), "small", rows)
         now = small.agg(F.count("*"), F.sum(F.xxhash64("low", "high").cast("decimal(38,0)"))).first()
         current = small
+        rows = now[0]
         if now == signature:
             return current.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("root"))
         signature = now
@@ -161,17 +163,18 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id (smallest doc_id reachable) per row of `docs`."""
     marked = stored(fingerprints(docs), "fingerprints")
-    classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = components(links(classes.select("fp")))
+    n_rows = marked.count()
+    classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes", n_rows)
+    roots = components(links(classes.select("fp")), n_rows)
     # Rows that share a doc_id tie their classes together as well.
     tied = marked.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a < b")
     if not tied.isEmpty():
         shared = marked.join(tied.select("doc_id", "a"), "doc_id").select("a", F.col("fp").alias("b")).where("a < b").distinct()
-        roots = components(links(classes.select("fp")).unionByName(shared))
+        roots = components(links(classes.select("fp")).unionByName(shared), n_rows)
     rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     whole = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = stored(rooted.join(whole, "root").select("fp", "component_id"), "members")
+    by_class = stored(rooted.join(whole, "root").select("fp", "component_id"), "members", n_rows)
     return marked.join(by_class, "fp").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),

@@ -183,7 +183,7 @@ def anchors(item_windows: DataFrame, min_cover: float) -> DataFrame:
 
 def anchor_table(item_windows: DataFrame, min_cover: float) -> BitTable | None:
     """The anchor words as a bit table; none if some item has no anchor, so that every text is to be read."""
-    words = stored(anchors(item_windows, min_cover), "anchors")
+    words = stored(anchors(item_windows, min_cover), "anchors", item_windows.count())
     count, missing = words.agg(F.count("*"), F.count_if(F.col("word").isNull())).first()
     return None if missing else build(words, "word", count, 64, 3, seed=5)
 
